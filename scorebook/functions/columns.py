@@ -75,7 +75,7 @@ def last_of(arr) -> Column:
 
 def parse_date(x) -> Column:
     """`YYYY-MM-DD` text (or a timestamp text starting with it) -> date, else null."""
-    return F.try_to_date(F.substring(_c(x), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(_c(x), 1, 10), "yyyy-MM-dd")
 
 
 def first_map_entry(m) -> Column:
