@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from scorebook import schemas
 from scorebook.operators.extract import (extract_deliveries, extract_match_info, extract_registry,
                                          quarantine_reasons, valid_documents)
-from scorebook.plans.refresh import Layout, append_new
+from scorebook.plans.refresh import Layout, append_new, append_new_events
 from scorebook.sources.documents import json_text, key_from_path, parse_documents, yaml_to_json
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -42,6 +42,7 @@ def _process_batch(layout: Layout):
         append_new(spark, extract_registry(valid), layout.table("registry"), schemas.REGISTRY)
         docs.select("match_id").distinct().write.mode("append").parquet(layout.table("manifest"))
         problems.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(layout.table("quarantine"))
+        append_new_events(spark, layout)
         docs.unpersist()
     return run
 
