@@ -19,7 +19,7 @@ from scorebook.functions.columns import (ball_facts, blank_to_null, cast_timesta
                                          opponent, rename_columns, replace_values)
 from scorebook.operators import keys as K
 from scorebook.operators.extract import (attach_events, extract_deliveries, extract_match_info,
-                                         extract_registry, valid_documents)
+                                         extract_registry, quarantine_reasons, valid_documents)
 from scorebook.operators.resolve import (name_override, person_dimension, person_names, resolve_roles,
                                          resolve_roles_by_map)
 from scorebook.operators.sequence import (attach_positions, first_appearance_order, running_total,
@@ -464,23 +464,30 @@ def _team(f: Column) -> Column:
     return F.when(f == "R", F.lit("Royal Challengers Bengaluru")).otherwise(F.concat(F.lit("Team "), f))
 
 
-def _ball(x: Column) -> Column:
+def _ball(x: Column, damage: Column | None = None) -> Column:
+    """One ball entry. With `damage` (a per-order condition), line 3 loses its required
+    `runs` and line 2 gets a ball key that is not a number (quarantine fixtures)."""
     batsman = F.concat(F.lit("S"), x["l_suppkey"].cast("string"))
     runs_bat = F.floor(x["l_quantity"] / 8).cast("bigint")
     extras = F.when(x["l_discount"] != 0, F.round(x["l_discount"] * 100).cast("bigint"))
+    key = (x["l_linenumber"].cast("double") + (x["l_quantity"] % 10) / 10).cast("string")
+    runs = F.struct(runs_bat.alias("batsman"), extras.alias("extras"),
+                    (runs_bat + F.coalesce(extras, F.lit(0).cast("bigint"))).alias("total"))
+    if damage is not None:
+        key = F.when((damage == "4-NOT SPECIFIED") & (x["l_linenumber"] == 2), F.concat(F.lit("ball "), key)).otherwise(key)
+        runs = F.when((damage == "5-LOW") & (x["l_linenumber"] == 3), F.lit(None)).otherwise(runs)
     return F.create_map(
-        (x["l_linenumber"].cast("double") + (x["l_quantity"] % 10) / 10).cast("string"),
+        key,
         F.struct(batsman.alias("batsman"),
                  F.concat(F.lit("P"), x["l_partkey"].cast("string")).alias("bowler"),
                  F.concat(F.lit("S"), (x["l_suppkey"] + 1).cast("string")).alias("non_striker"),
                  F.when(x["l_tax"] == 0, F.lit("yes")).alias("declared"),
-                 F.struct(runs_bat.alias("batsman"), extras.alias("extras"),
-                          (runs_bat + F.coalesce(extras, F.lit(0).cast("bigint"))).alias("total")).alias("runs"),
+                 runs.alias("runs"),
                  F.when((x["l_returnflag"] == "R") & (x["l_linestatus"] == "F"),
                         F.struct(F.lit("bowled").alias("kind"), batsman.alias("player_out"))).alias("wicket")))
 
 
-def order_documents(spark, d) -> DataFrame:
+def order_documents(spark, d, damaged: bool = False) -> DataFrame:
     """(match_id, path, doc_json): one JSON match document per order. An order has a
     handful of lines, so each collected list is bounded by the lines of one order."""
     li = t(spark, d, "lineitem")
@@ -521,7 +528,8 @@ def order_documents(spark, d) -> DataFrame:
     innings = F.transform(flags, lambda f: F.create_map(
         F.concat(f, F.lit(" innings")),
         F.struct(_team(f).alias("team"),
-                 F.transform(F.filter("lines", lambda x: x["l_returnflag"] == f), _ball).alias("deliveries"))))
+                 F.transform(F.filter("lines", lambda x: x["l_returnflag"] == f),
+                             lambda x: _ball(x, F.col("o_orderpriority") if damaged else None)).alias("deliveries"))))
     mid = F.col("o_orderkey").cast("string")
     return j.select(mid.alias("match_id"), F.concat(F.lit("orders/"), mid, F.lit(".json")).alias("path"),
                     F.to_json(F.struct(info.alias("info"), innings.alias("innings"))).alias("doc_json"))
@@ -536,6 +544,29 @@ def order_docs_parsed(spark, d, via_yaml: bool = False) -> DataFrame:
     return valid_documents(parse_documents(texts))
 
 
+def q_doc_quarantine(spark, d):
+    """Quarantine reasons for damaged documents (whole-file, D5)."""
+    raw = order_documents(spark, d, damaged=True)
+    texts = json_text(raw.select("match_id", "path", F.col("doc_json").cast("binary").alias("content")))
+    return quarantine_reasons(parse_documents(texts)).select("match_id", "reason", "fatal")
+
+
+ORACLE["doc_quarantine"] = """
+WITH o AS (SELECT o_orderkey, o_orderpriority,
+                  EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey) AS has_lines,
+                  EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linenumber = 3) AS has3,
+                  EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linenumber = 2) AS has2
+           FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS match_id,
+       CASE WHEN o_orderpriority = '5-LOW' AND has3 THEN 'missing_runs'
+            WHEN o_orderpriority = '4-NOT SPECIFIED' AND has2 THEN 'bad_ball_key'
+            ELSE 'empty_innings' END AS reason,
+       NOT (NOT has_lines AND NOT (o_orderpriority = '5-LOW' AND has3)
+            AND NOT (o_orderpriority = '4-NOT SPECIFIED' AND has2)) AS fatal
+FROM o
+WHERE NOT has_lines OR (o_orderpriority = '5-LOW' AND has3) OR (o_orderpriority = '4-NOT SPECIFIED' AND has2)"""
+
+
 def q_doc_deliveries(spark, d):
     """S1 through the YAML helper (JSON text is valid YAML), then E1-E7."""
     return extract_deliveries(order_docs_parsed(spark, d, via_yaml=True))
@@ -797,6 +828,7 @@ QUERIES = {
     "delta_count": q_delta_count,
     "merge_append": q_merge_append,
     "doc_deliveries": q_doc_deliveries,
+    "doc_quarantine": q_doc_quarantine,
     "doc_match_info": q_doc_match_info,
     "doc_registry": q_doc_registry,
     "doc_event": q_doc_event,
