@@ -758,7 +758,7 @@ def _wide_sql() -> str:
     role_cols = ", ".join(f"COALESCE(n_{r}.person_name, dl.{r}) AS {r}, n_{r}.person_id AS {r}_id" for r in ROLES4)
     fix = "'Royal Challengers Bengaluru'"
     replaced = ", ".join(f"CASE WHEN {c} = {fix} THEN 'Royal Challengers Bangalore' ELSE {c} END AS {c}"
-                         for c in JOINED_STRINGS)
+                         for c in JOINED_STRINGS if c not in ("match_id", "innings_id"))
     blanks = ", ".join(f"NULLIF({c}, '') AS {c}" for c in JOINED_STRINGS + ["league"])
     return f"""
 WITH {SQL_REGISTRY}, {SQL_NAMES}, {SQL_DELIVERIES}, {SQL_MATCH_INFO},
