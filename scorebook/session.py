@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Landed match documents are ~1-100 KB each. The 4 MB default open cost packs ~32
+    # such files per scan task (15k files -> 469 tiny tasks per pass); 64 KB packs them
+    # into parallelism-sized splits (measured: 15k-file refresh 60 s -> 38 s).
+    "spark.sql.files.openCostInBytes": str(64 * 1024),
 }
 
 
