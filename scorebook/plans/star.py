@@ -230,6 +230,30 @@ SELECT {', '.join(c for c in LI_COLS if c != 'l_shipdate')}, CAST(l_shipdate AS
 FROM lineitem"""
 
 
+# C4 + C5 in one pass, shaped like the dataset: lines grouped by order, global order by
+# order date first, so the group does not lead the sort key
+def q_running_ids(spark, d):
+    from scorebook.operators.sequence import running_total_with_ids
+
+    li = t(spark, d, "lineitem")
+    o = t(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    x = li.join(o, li["l_orderkey"] == o["o_orderkey"]).drop("o_orderkey")
+    rest = [c for c in LI_COLS if c != "l_orderkey"]
+    out = running_total_with_ids(x, ["l_orderkey"], ["o_orderdate", "l_orderkey", *rest],
+                                 F.col("l_quantity").cast("bigint"), "qty_so_far", "line_id")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                      F.col("o_orderdate").cast("date").alias("o_orderdate"), "qty_so_far", "line_id")
+
+
+ORACLE["running_ids"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CAST(o_orderdate AS DATE) AS o_orderdate,
+  CAST(SUM(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY {', '.join(c for c in LI_COLS if c != 'l_orderkey')}
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS qty_so_far,
+  CAST(row_number() OVER (ORDER BY o_orderdate, l_orderkey, {', '.join(c for c in LI_COLS if c != 'l_orderkey')}) AS BIGINT)
+    AS line_id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+
 # C1 (J1-J6, F6, F8, P3, A4): lineitem roles batter = supplier, bowler = part, per order
 def _role_fact(spark, d):
     return t(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("match_id"), "l_linenumber",
@@ -813,6 +837,7 @@ QUERIES = {
     "first_appearance": q_first_appearance,
     "participant_position": q_participant_position,
     "sequential_id": q_sequential_id,
+    "running_ids": q_running_ids,
     "resolve_roles": q_resolve_roles,
     "role_map_lookup": q_role_map_lookup,
     "dimension_name_override": q_dimension_name_override,
