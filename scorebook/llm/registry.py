@@ -3,9 +3,10 @@
 from scorebook.llm import (
     pieces,
     quality,
+    substrings,
     token_counts,
 )
 
-MODULES = (quality, pieces, token_counts)
+MODULES = (quality, substrings, pieces, token_counts)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
