@@ -1,12 +1,13 @@
 """The queries of this subpackage by name, and DuckDB SQL for those that SQL can express."""
 
 from scorebook.llm import (
+    decontamination,
     pieces,
     quality,
     substrings,
     token_counts,
 )
 
-MODULES = (quality, substrings, pieces, token_counts)
+MODULES = (quality, substrings, decontamination, pieces, token_counts)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
