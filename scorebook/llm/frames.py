@@ -33,6 +33,14 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def sample_texts(docs: DataFrame, n: int, max_bytes: int = 1 << 16) -> pa.RecordBatch:
+    """At most `n` texts of at most `max_bytes` bytes each (so n * max_bytes bytes), for estimates only.
+
+    A plain limit, read from as few files as it needs; a sampled share would scan them all."""
+    rows = docs.where(F.octet_length("text") <= max_bytes).select("text").limit(n).collect()
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string())], ["text"])
+
+
 def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
     """mapInArrow where `fn` turns a batch into dicts of column -> list or array."""
     fields = [f.strip().split(" ") for f in schema.split(",")]

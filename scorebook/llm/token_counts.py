@@ -4,7 +4,7 @@ A text is cut before each run of spaces: no piece of the vocabulary holds a spac
 after another character, so merges never cross such a cut and the counts of the parts
 add up to the library's count of the whole text (checked when the counter is built).
 Tier one is a compact hash table (hash -> token count) of the most frequent pre-tokens
-of a bounded sample, broadcast to all tasks; its size is the parameter `slots`.
+of a bounded sample (at most `sample_docs` texts), broadcast to all tasks; its size is the parameter `slots`.
 Tier two is a bounded cache in each Python worker; what neither holds is encoded by the
 library once per chunk of text.
 
@@ -19,14 +19,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from scorebook.llm.frames import keyed_texts, per_batch, table
+from scorebook.llm.frames import keyed_texts, per_batch, sample_texts, table
 from scorebook.llm.words import Texts, chunks
 
 SPACE, MARK = b" ", "▁"
 SLOTS = 1 << 16
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 1000
 CACHE = 1 << 18
 
 #: Per Python worker: model -> (processor, {pre-token hash: token count}); lives across tasks.
@@ -86,26 +85,20 @@ def add_up(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return c[offs[1:]] - c[offs[:-1]]
 
 
-def frequent_table(docs: DataFrame, model: bytes, slots: int, sample_docs: int) -> tuple[np.ndarray, np.ndarray]:
+def frequent_table(sample: pa.RecordBatch, model: bytes, slots: int) -> tuple[np.ndarray, np.ndarray]:
     """Open hash table with one probe: slot = low bits of the hash; the more frequent pre-token keeps its slot."""
-
-    def count(batch):
-        for a, b, t in chunks(pa.RecordBatch.from_arrays([prepared(batch.column(1))], ["text"])):
-            s, e, _ = pretokens(t)
-            h, at, n = np.unique(t.hashes(s, e), return_index=True, return_counts=True)
-            top = np.argsort(-n, kind="stable")[:slots]
-            yield {"h": h[top].view(np.int64), "n": n[top], "w": [plain(t, s[i], e[i]) for i in at[top]]}
-
-    seen: dict[int, list] = {}
-    rows = per_batch(docs.limit(sample_docs), count, "h bigint, n bigint, w string")
-    best = rows.groupBy("h").agg(F.sum("n").alias("n"), F.min("w").alias("w")).orderBy("n", "h", ascending=False)
-    for h, n, w in best.limit(slots).collect():
-        seen.setdefault(h & (slots - 1), [h, w])
+    t = Texts.of(prepared(sample.column(0)))
+    s, e, _ = pretokens(t)
+    h, at, n = np.unique(t.hashes(s, e).view(np.int64), return_index=True, return_counts=True)
+    rare_first = np.argsort(n, kind="stable")
+    slot = h & (slots - 1)
+    owner = np.full(slots, -1)
+    owner[slot[rare_first]] = rare_first  # the last, most frequent, stays
+    used = np.flatnonzero(owner >= 0)
     keys, counts = np.zeros(slots, np.int64), np.full(slots, -1, np.int32)
-    if seen:
-        lens = [len(x) for x in load(model).encode([w for _, w in seen.values()], num_threads=1)]
-        for (slot, (h, _)), n in zip(seen.items(), lens):
-            keys[slot], counts[slot] = h, n
+    keys[used] = h[owner[used]]
+    lens = load(model).encode([plain(t, s[i], e[i]) for i in at[owner[used]]], num_threads=1) if len(used) else []
+    counts[used] = [len(x) for x in lens]
     return keys, counts
 
 
@@ -116,7 +109,7 @@ def count_tokens(docs: DataFrame, model: bytes, slots: int = SLOTS, sample_docs:
         raise ValueError("slots must be a power of two")
     check_model(model)
     docs = keyed_texts(docs)
-    keys, counts = frequent_table(docs, model, slots, sample_docs)
+    keys, counts = frequent_table(sample_texts(docs, sample_docs), model, slots)
     shared = docs.sparkSession.sparkContext.broadcast((model, keys, counts))  # 12 bytes a slot and the model
     ident = xxhash.xxh3_64_intdigest(model)
 
