@@ -1,6 +1,7 @@
 """The queries of this subpackage by name, and DuckDB SQL for those that SQL can express."""
 
 from scorebook.llm import (
+    chat,
     decontamination,
     pieces,
     quality,
@@ -8,6 +9,6 @@ from scorebook.llm import (
     token_counts,
 )
 
-MODULES = (quality, substrings, decontamination, pieces, token_counts)
+MODULES = (quality, substrings, decontamination, pieces, chat, token_counts)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
