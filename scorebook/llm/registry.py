@@ -3,12 +3,14 @@
 from scorebook.llm import (
     chat,
     decontamination,
+    near_duplicates,
     pieces,
     quality,
     substrings,
+    suffixes,
     token_counts,
 )
 
-MODULES = (quality, substrings, decontamination, pieces, chat, token_counts)
+MODULES = (quality, substrings, decontamination, near_duplicates, pieces, chat, suffixes, token_counts)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
