@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorebook.llm.words import chunks, pack_texts
 from scorebook.session import checkpoint_dir, default_partitions
 
 
@@ -57,3 +58,14 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], sch
                     names=names)
 
     return df.mapInArrow(run, schema)
+
+
+def packed_texts(df: DataFrame) -> DataFrame:
+    """`df` (keys of type bigint, and `text`) with each text compressed, for shuffles of whole texts."""
+    keys = [c for c in df.columns if c != "text"]
+
+    def run(batch):
+        for a, b, t in chunks(batch):
+            yield {**{k: batch.column(i).slice(a, b - a) for i, k in enumerate(keys)}, "text": pack_texts(t)}
+
+    return per_batch(df.select(*keys, "text"), run, ", ".join(f"{k} bigint" for k in keys) + ", text binary")

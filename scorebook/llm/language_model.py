@@ -30,12 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.llm.frames import partitions, per_batch, stage, table
-from scorebook.llm.meeting import _pack, _unpack
+from scorebook.llm.meeting import pack, unpack
 from scorebook.llm.shared_files import map_arrays, write_arrays
 from scorebook.llm.words import LOWER, chunks, mix
 from scorebook.session import checkpoint_dir
@@ -74,31 +73,6 @@ def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def _six(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return keys.astype(np.uint32), (keys >> np.uint64(32)).astype(np.uint16)
-
-
-def _join_six(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
-
-
-def _squeeze(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(1).compress(_pack(*arrays))
-
-
-def _open(data: bytes, *kinds) -> list[np.ndarray]:
-    return _unpack(zstandard.ZstdDecompressor().decompress(data), *kinds)
-
-
-def _narrow(x: np.ndarray) -> np.ndarray:
-    """Counts as 8-byte planes, which compress well."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).ravel()
-
-
-def _wide(x: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(x.reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
-
-
 def _distinct(word, before, count=None):
     """Distinct bigrams in the order of their keys: keys, words, contexts, counts."""
     key = bigram_keys(before, word)
@@ -146,7 +120,7 @@ def _spread_words(rows, n: int) -> Iterator[tuple]:
     order = np.argsort(place, kind="stable")
     key, stats = key[order], [s[order] for s in stats]
     for b, x, y in _cut(bucket_of(place[order], n), n):
-        yield b, _squeeze(*_six(key[x:y]), *[_narrow(s[x:y]) for s in stats])
+        yield b, pack(key[x:y], *[s[x:y] for s in stats])
 
 
 def _tally(counts: np.ndarray) -> list[int]:
@@ -170,7 +144,7 @@ def train(texts: DataFrame) -> dict:
             for b, x, y in _cut(bucket_of(key, buckets), buckets):
                 by_word = np.argsort(word[x:y], kind="stable") + x
                 u, size = np.unique(word[by_word], return_counts=True)
-                out.append((b, _squeeze(*_six(u), _narrow(size), *_six(before[by_word]), _narrow(c[by_word]))))
+                out.append((b, pack(u, size, before[by_word], c[by_word])))
             return _arrow(out, ["bucket", "payload"], [pa.int32(), pa.binary()])
 
         for batch in batches:
@@ -188,10 +162,10 @@ def train(texts: DataFrame) -> dict:
         for b, rows in _by_bucket(batches):
             word, before, c = [], [], []
             for p in rows:
-                wl, wh, size, hl, hh, k = _open(p, np.uint32, np.uint16, np.uint8, np.uint32, np.uint16, np.uint8)
-                word.append(np.repeat(_join_six(wl, wh), _wide(size)))
-                before.append(_join_six(hl, hh))
-                c.append(_wide(k))
+                u, size, h, k = unpack(p, np.uint64, np.int64, np.uint64, np.int64)
+                word.append(np.repeat(u, size))
+                before.append(h)
+                c.append(k)
             key, word, before, c = _distinct(np.concatenate(word), np.concatenate(before), np.concatenate(c))
             write_arrays(folder + "/bigrams", f"{b:06d}", {"key": key, "c": c.astype(np.uint32 if c.max() < 1 << 32 else np.uint64)})
             u, back = np.unique(np.concatenate([word, before]), return_inverse=True)
@@ -212,10 +186,10 @@ def train(texts: DataFrame) -> dict:
 
     def add_words(batches):
         for b, rows in _by_bucket(batches):
-            parts = [_open(p, np.uint32, np.uint16, *[np.uint8] * 5) for p in rows]
-            key = np.concatenate([_join_six(p[0], p[1]) for p in parts])
+            parts = [unpack(p, np.uint64, *[np.int64] * 5) for p in rows]
+            key = np.concatenate([p[0] for p in parts])
             u, back = np.unique(key, return_inverse=True)
-            cols = [np.bincount(back, np.concatenate([_wide(p[2 + i]) for p in parts]), len(u)).astype(np.uint64)
+            cols = [np.bincount(back, np.concatenate([p[1 + i] for p in parts]), len(u)).astype(np.uint64)
                     for i in range(5)]
             kinds = [np.uint32 if not len(x) or x.max() < 1 << 32 else np.uint64 for x in cols]
             write_arrays(folder + "/words", f"{b:06d}",

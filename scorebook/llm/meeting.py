@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,17 +44,22 @@ def codes(h: np.ndarray, buckets: int, exact: bool) -> tuple[np.ndarray, np.ndar
     return ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), h if exact else h & np.uint64(REST)
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed byte planes (the high bytes of small numbers cost almost nothing)."""
     head = np.array([len(arrays), *(x.nbytes for x in arrays)], np.int64)
-    return b"".join([head.tobytes(), *(x.tobytes() for x in arrays)])
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in arrays]
+    return zstandard.ZstdCompressor(1).compress(b"".join([head.tobytes(), *planes]))
 
 
-def _unpack(data: bytes, *kinds) -> list[np.ndarray]:
+def unpack(data: bytes, *kinds) -> list[np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(data)
     n = int(np.frombuffer(data, np.int64, 1)[0])
     sizes = np.frombuffer(data, np.int64, n, 8)
     out, at = [], 8 * (n + 1)
     for size, kind in zip(sizes.tolist(), kinds):
-        out.append(np.frombuffer(data, kind, size // np.dtype(kind).itemsize, at))
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, size, at).reshape(wide, -1)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += size
     return out
 
@@ -118,17 +124,16 @@ class Batch:
         out = []
         for b in np.flatnonzero(np.diff(edges)).tolist():
             x, y = edges[b], edges[b + 1]
-            values = ids[first[x:y]] if self.exact else np.zeros(0, np.int64)
-            out.append((b % self.n_parts, b, batch, PROBE, _pack(
-                *_pack_sorted(k_of[x:y]), first[x:y].astype(np.uint16), np.packbits(marked[x:y]),
-                np.packbits(many[x:y]), values)))
+            who = ids[first[x:y]] if self.exact else first[x:y].astype(np.uint16)
+            out.append((b % self.n_parts, b, batch, PROBE, pack(
+                *_pack_sorted(k_of[x:y]), who, np.packbits(marked[x:y]), np.packbits(many[x:y]))))
         home = batch % self.n_parts
         local = np.flatnonzero(many)
         if len(local):
-            out.append((home, -1, batch, LOCAL, _pack(
+            out.append((home, -1, batch, LOCAL, pack(
                 b_of[local].astype(np.int32), k_of[local], size[local].astype(np.uint32),
                 doc[ragged(start[local], size[local])].astype(np.uint16))))
-        out.append((home, -1, batch, DOCS, _pack(ids)))
+        out.append((home, -1, batch, DOCS, pack(ids)))
         for i in range(0, len(out), 64):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[i:i + 64]), ROW)], schema=ROW)
 
@@ -148,79 +153,78 @@ def _groups(batches, column: str):
         yield have, rows
 
 
-def _merge(rows, exact: bool) -> Iterator[tuple[int, bytes]]:
-    """One bucket: the answers to each batch, by whether its keys are shared."""
-    parts = []
+def _merge(rows, exact: bool, earlier: bool) -> Iterator[tuple[int, bytes]]:
+    """One bucket: the answers to each batch, the keys that are shared."""
+    parts, who_kind = [], np.int64 if exact else np.uint16
     for _, _, data in rows:
-        f, a, w, first, marked, many, values = _unpack(data, np.uint64, np.uint32, np.uint64, np.uint16, np.uint8,
-                                                       np.uint8, np.int64)
+        f, a, w, who, marked, many = unpack(data, np.uint64, np.uint32, np.uint64, who_kind, np.uint8, np.uint8)
         key = _unpack_sorted(f, a, w)
-        parts.append((key, first, np.unpackbits(marked, count=len(key)).astype(bool),
-                      np.unpackbits(many, count=len(key)).astype(bool), values))
-    key = np.concatenate([p[0] for p in parts])
+        parts.append((key, who, np.unpackbits(marked, count=len(key)).astype(bool),
+                      np.unpackbits(many, count=len(key)).astype(bool)))
+    key, who, marked, many = (np.concatenate([p[i] for p in parts]) for i in range(4))
     order = np.argsort(key, kind="stable")
     k = key[order]
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
     start = np.flatnonzero(new)
     group = np.cumsum(new) - 1
-    many = np.concatenate([p[3] for p in parts])[order]
-    shared = (np.diff(np.append(start, len(k))) > 1) | np.logical_or.reduceat(many, start)
-    shared &= np.logical_or.reduceat(np.concatenate([p[2] for p in parts])[order], start)
+    shared = (np.diff(np.append(start, len(k))) > 1) | np.logical_or.reduceat(many[order], start)
+    shared &= np.logical_or.reduceat(marked[order], start)
     keep = np.empty(len(k), bool)
     keep[order] = shared[group]
-    if exact:
+    lowest = np.zeros(0, np.int64)
+    if earlier:
         lowest = np.empty(len(k), np.int64)
-        lowest[order] = np.minimum.reduceat(np.concatenate([p[4] for p in parts])[order], start)[group]
+        lowest[order] = np.minimum.reduceat(who[order], start)[group]
+        keep &= many | (who > lowest)
     at = 0
     for (batch, _, _), p in zip(rows, parts):
-        n = len(p[0])
-        mine = np.flatnonzero(keep[at:at + n])
+        mine = at + np.flatnonzero(keep[at:at + len(p[0])])
+        at += len(p[0])
         if len(mine):
-            yield batch, _pack(p[0][mine], p[1][mine], np.packbits(p[3][mine]),
-                               lowest[at:at + n][mine] if exact else np.zeros(0, np.int64))
-        at += n
+            yield batch, pack(key[mine], who[mine], np.packbits(many[mine]), lowest[mine[many[mine]]] if earlier else lowest)
 
 
-def _by_document(rows, exact: bool, earlier: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """One batch: (doc_id, buckets, keys) of its documents that hold shared keys."""
-    ids = _unpack(next(p for _, kind, p in rows if kind == DOCS), np.int64)[0]
+def _by_document(rows, exact: bool, earlier: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """One batch: (doc_id, codes) of its documents that hold shared keys."""
+    ids = unpack(next(p for _, kind, p in rows if kind == DOCS), np.int64)[0]
     local: dict = {}
     for _, kind, p in rows:
         if kind == LOCAL:
-            b, k, size, doc = _unpack(p, np.int32, np.uint64, np.uint32, np.uint16)
-            ends = np.cumsum(size, dtype=np.int64)
-            cuts = np.searchsorted(b, [b[0], b[-1] + 1]) if len(b) else ()
-            local = {"b": b, "k": k, "end": ends, "size": size.astype(np.int64), "doc": doc, "cuts": cuts}
-    docs, buckets, keys, low = [], [], [], []
+            b, k, size, doc = unpack(p, np.int32, np.uint64, np.uint32, np.uint16)
+            local = {"b": b, "k": k, "end": np.cumsum(size, dtype=np.int64), "size": size.astype(np.int64), "doc": doc}
+    docs, found = [], []
     for bucket, kind, p in rows:
         if kind != PROBE:
             continue
         b = int(np.frombuffer(p[:8], np.int64)[0])
-        k, first, many, lowest = _unpack(p[8:], np.uint64, np.uint16, np.uint8, np.int64)
+        k, who, many, lowest = unpack(p[8:], np.uint64, np.int64 if exact else np.uint16, np.uint8, np.int64)
         many = np.unpackbits(many, count=len(k)).astype(bool)
-        docs.append(first[~many])
-        keys.append(k[~many])
-        low.append(lowest[~many] if exact else lowest)
+        docs.append(who[~many] if exact else ids[who[~many]])
+        found.append(_codes(b, k[~many], exact))
         if many.any():
             x, y = np.searchsorted(local["b"], [b, b + 1])
             i = x + np.searchsorted(local["k"][x:y], k[many])
             n = local["size"][i]
-            docs.append(local["doc"][ragged(local["end"][i] - n, n)])
-            keys.append(np.repeat(k[many], n))
-            low.append(np.repeat(lowest[many], n) if exact else lowest)
-        buckets.append(np.full(sum(map(len, docs)) - sum(map(len, buckets)), b, np.int64))
+            doc = ids[local["doc"][ragged(local["end"][i] - n, n)]]
+            code = np.repeat(_codes(b, k[many], exact), n)
+            if earlier:
+                later = doc > np.repeat(lowest, n)
+                doc, code = doc[later], code[later]
+            docs.append(doc)
+            found.append(code)
     if not docs:
         return
-    doc, key, bucket = np.concatenate(docs), np.concatenate(keys), np.concatenate(buckets)
-    if earlier:
-        later = ids[doc] > np.concatenate(low)
-        doc, key, bucket = doc[later], key[later], bucket[later]
+    doc, code = np.concatenate(docs), np.concatenate(found)
     order = np.argsort(doc, kind="stable")
-    doc, key, bucket = doc[order], key[order], bucket[order]
-    cut = np.append(np.flatnonzero(np.append(True, doc[1:] != doc[:-1])), len(doc)) if len(doc) else [0]
-    for a, z in zip(cut, cut[1:]):
-        yield int(ids[doc[a]]), bucket[a:z], key[a:z]
+    doc, code = doc[order], code[order]
+    cut = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
+    for a, z in zip(cut, [*cut[1:], len(doc)]):
+        yield int(doc[a]), code[a:z]
+
+
+def _codes(bucket: int, keys: np.ndarray, exact: bool) -> np.ndarray:
+    return keys if exact else np.uint64(bucket << 39) | keys
 
 
 def shared_keys(df: DataFrame, emit: Callable, exact: bool, places: bool = False, earlier: bool = False) -> DataFrame:
@@ -251,7 +255,7 @@ def shared_keys(df: DataFrame, emit: Callable, exact: bool, places: bool = False
                 out += rows
             else:
                 head = np.array([bucket], np.int64).tobytes()
-                out += [(batch, PROBE, head + p) for batch, p in _merge(rows, exact)]
+                out += [(batch, PROBE, head + p) for batch, p in _merge(rows, exact, earlier)]
             if out:
                 yield _rows(out)
                 out = []
@@ -263,8 +267,7 @@ def shared_keys(df: DataFrame, emit: Callable, exact: bool, places: bool = False
 
     def regroup(batches):
         for _, rows in _groups(batches, "batch"):
-            got = [(d, np.concatenate([b.astype(np.int32).view(np.uint8), k.view(np.uint8)]).tobytes())
-                   for d, b, k in _by_document(rows, exact, earlier)]
+            got = [(d, code.tobytes()) for d, code in _by_document(rows, exact, earlier)]
             for i in range(0, len(got), 1000):
                 part = got[i:i + 1000]
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()),
@@ -278,14 +281,9 @@ def shared_keys(df: DataFrame, emit: Callable, exact: bool, places: bool = False
     return found.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
 
 
-def key_set(parts: list[bytes], n_buckets: int, exact: bool) -> np.ndarray:
+def key_set(parts: list[bytes]) -> np.ndarray:
     """Sorted distinct codes of the answers to one document, comparable with `own_codes`."""
-    out = []
-    for p in parts:
-        n = len(p) // 12
-        b, k = np.frombuffer(p, np.int32, n).astype(np.uint64), np.frombuffer(p, np.uint64, n, 4 * n)
-        out.append(k if exact else (b << np.uint64(39)) | k)
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+    return np.unique(np.frombuffer(b"".join(parts), np.uint64))
 
 
 def own_codes(h: np.ndarray, n_parts: int, exact: bool) -> np.ndarray:

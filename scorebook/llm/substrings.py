@@ -27,15 +27,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm.frames import keyed_texts, partitions, per_batch, table
+from scorebook.llm.frames import keyed_texts, packed_texts, partitions, per_batch, table
 from scorebook.llm.meeting import key_set, member, own_codes, shared_keys
-from scorebook.llm.words import Texts, chunks, doc_of, windows
+from scorebook.llm.words import Texts, chunks, doc_of, packed_chunks, windows
 
 WINDOW = 13
 
 
+#: Stands for a null id, so that both joins with the texts can share one shuffle of them.
+NO_ID = -(1 << 63)
+
+
+def _texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+
+
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return batch.column(0).to_numpy(zero_copy_only=False)
 
 
 def _near(hit: np.ndarray, pos: np.ndarray, block: int, window: int) -> np.ndarray:
@@ -45,8 +53,9 @@ def _near(hit: np.ndarray, pos: np.ndarray, block: int, window: int) -> np.ndarr
     return pos[c[np.minimum(pos + last, len(hit))] > c[pos]]
 
 
-def removed_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, keys: the fingerprints of each document's windows that a smaller id holds too."""
+def removed_words(docs: DataFrame, packed: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, keys: the fingerprints of each document's windows that a smaller id holds too. `docs` as from
+    `_texts`, and `packed` its packed_texts."""
     block = (window + 1) // 2
     n = partitions(docs.sparkSession)
 
@@ -56,16 +65,18 @@ def removed_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             h, w = t.words()
             pos, g = windows(h, w, block, 1)
             doc = doc_of(w)[pos]
+            if (ids[a:b] == NO_ID).any():
+                known = ids[a + doc] != NO_ID
+                pos, g, doc = pos[known], g[known], doc[known]
             yield ids[a:b], doc, g, (pos - w[doc]) % block == 0
 
-    texts = docs.where(F.col("doc_id").isNotNull())
-    anchors = shared_keys(texts, probes, exact=False)
-    candidates = texts.join(anchors, "doc_id").select("doc_id", "text", "keys")
+    anchors = shared_keys(docs, probes, exact=False)
+    candidates = packed.join(anchors, "doc_id").select("doc_id", "text", "keys")
 
     def candidate_windows(batch):
         ids = _ids(batch)
         keys = batch.column(2)
-        for a, b, t in chunks(batch):
+        for a, b, t in packed_chunks(batch.column(1)):
             h, w = t.words()
             bpos, bh = windows(h, w, block, 1)
             own = own_codes(bh, n, False)
@@ -73,7 +84,7 @@ def removed_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             cut = np.searchsorted(bpos, w)
             for i in range(b - a):
                 x, y = cut[i], cut[i + 1]
-                hit[bpos[x:y][member(own[x:y], key_set(keys[a + i].as_py(), n, False))]] = True
+                hit[bpos[x:y][member(own[x:y], key_set(keys[a + i].as_py()))]] = True
             pos, g = windows(h, w, window, 2)
             near = np.searchsorted(pos, _near(hit, pos, block, window))
             yield ids[a:b], doc_of(w)[pos[near]], g[near], None
@@ -91,15 +102,17 @@ def covered(t: Texts, keys: list, window: int) -> tuple[np.ndarray, np.ndarray]:
         cut = np.searchsorted(pos, w)
         for i in some:
             x, y = cut[i], cut[i + 1]
-            at = pos[x:y][member(g[x:y], key_set(keys[i], 0, True))]
+            at = pos[x:y][member(g[x:y], key_set(keys[i]))]
             cover[at] += 1
             np.subtract.at(cover, at + window, 1)
     return np.cumsum(cover)[:-1] > 0, w
 
 
 def with_removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    texts = keyed_texts(docs)
-    return texts.join(removed_words(texts, window), "doc_id", "left").select("doc_id", "text", "keys")
+    """doc_id (NO_ID for null), text (packed), keys of every row of `docs`."""
+    texts = _texts(docs)
+    packed = packed_texts(texts).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))  # not null to the planner
+    return packed.join(removed_words(texts, packed, window), "doc_id", "left").select("doc_id", "text", "keys")
 
 
 def dedup_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -107,7 +120,7 @@ def dedup_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(batch):
         keys = batch.column(2)
-        for a, b, t in chunks(batch):
+        for a, b, t in packed_chunks(batch.column(1)):
             gone, w = covered(t, keys.slice(a, b - a).to_pylist(), window)
             s, e, _ = t.spans()
             digests = [_digest(t, s, e, gone, w[i], w[i + 1], i) for i in range(b - a)]
@@ -115,8 +128,9 @@ def dedup_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield {"doc_id": batch.column(0).slice(a, b - a), "n_words": np.diff(w), "n_removed": c[w[1:]] - c[w[:-1]],
                    "kept_sha256": digests}
 
-    return per_batch(with_removals(docs, window), run,
-                     "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    out = per_batch(with_removals(docs, window), run,
+                    "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
 def kept_text(t: Texts, s, e, gone, x: int, y: int, i: int) -> bytes:
@@ -134,8 +148,8 @@ def _digest(t, s, e, gone, x, y, i) -> str:
 def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with all its columns and rows; texts that lose words become their kept words joined by one space
     (possibly empty), all others stay as they are, null included."""
-    texts = keyed_texts(docs, id_col, text_col)
-    gone = removed_words(texts, window).select(F.col("doc_id").alias("__gone_id"), "keys")
+    texts = _texts(docs, id_col, text_col)
+    gone = removed_words(texts, packed_texts(texts), window).select(F.col("doc_id").alias("__gone_id"), "keys")
     both = docs.join(gone, F.col(id_col).cast("bigint") == F.col("__gone_id"), "left")
     names, at = docs.columns, docs.columns.index(text_col)
 

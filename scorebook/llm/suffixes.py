@@ -174,7 +174,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
             spans = []
             for i in range(b - a):
                 x, y = cut[i], cut[i + 1]
-                hit = member(h[x:y], key_set(keys[a + i].as_py(), 0, True))
+                hit = member(h[x:y], key_set(keys[a + i].as_py()))
                 spans.append(_runs(start[x:y][hit], batch.column(3)[a + i].as_py(), length))
             yield {"id": batch.column(0).slice(a, b - a), "key": batch.column(1).slice(a, b - a),
                    "spans": _span_list(spans)}

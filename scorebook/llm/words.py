@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 20
@@ -187,6 +188,25 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         a = b
 
 
+def packed_chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Texts]]:
+    """As `chunks`, of texts that `pack_texts` compressed."""
+    open_, part, a, size = zstandard.ZstdDecompressor(), [], 0, 0
+    for i, x in enumerate(col):
+        x = x.as_py()
+        part.append(open_.decompress(x) if x else b"")
+        size += len(part[-1])
+        if size >= limit or i == len(col) - 1:
+            offs = np.concatenate([[0], np.cumsum([len(p) for p in part])])
+            yield a, i + 1, Texts(np.frombuffer(b"".join(part), np.uint8), offs)
+            part, a, size = [], i + 1, 0
+
+
+def pack_texts(t: Texts) -> list[bytes]:
+    """Each text compressed by itself; the empty text as no bytes."""
+    close = zstandard.ZstdCompressor(1)
+    return [close.compress(x) if x else b"" for x in map(t.bytes_of, range(len(t)))]
+
+
 def doc_of(woffs: np.ndarray) -> np.ndarray:
     """Text index of each word."""
     return np.repeat(np.arange(len(woffs) - 1), np.diff(woffs))
