@@ -4,6 +4,7 @@ from scorebook.llm import (
     chat,
     decontamination,
     language_model,
+    main_text,
     near_duplicates,
     pieces,
     quality,
@@ -12,6 +13,6 @@ from scorebook.llm import (
     token_counts,
 )
 
-MODULES = (quality, substrings, decontamination, near_duplicates, pieces, language_model, chat, suffixes, token_counts)
+MODULES = (quality, substrings, main_text, decontamination, near_duplicates, pieces, language_model, chat, suffixes, token_counts)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
