@@ -32,17 +32,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.llm.collection import shared_starts
-from scorebook.llm.frames import partitions, per_batch, stage, table
+from scorebook.llm.frames import packed_texts, partitions, per_batch, stage, table
 from scorebook.llm.meeting import key_set, member, shared_keys
-from scorebook.llm.words import BASE_INV, Texts, chunks, mix, powers, prefix_sums
+from scorebook.llm.words import BASE_INV, Texts, chunks, mix, packed_chunks, powers, prefix_sums
 
-LENGTH, GRAM = 400, 64
+LENGTH, GRAM = 400, 128
 GROUP = 64
 SEGMENT = 4 << 20
-COLLECTION_BYTES = 128 << 10
+COLLECTION_BYTES = 256 << 10
 PLACE_BITS = 23  # SEGMENT + LENGTH fits
 
 
+def _unpacked(col: pa.Array) -> Iterator[bytes]:
+    for _, _, t in packed_chunks(col):
+        yield from map(t.bytes_of, range(len(t)))
+
+
 def _spans_hash(sums: np.ndarray, a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = (sums[b] - sums[a]) * powers(BASE_INV, len(sums))[a]
@@ -102,8 +107,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("key"), text.alias("text"))
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """id, key, spans (array of first byte and size, overlapping and unordered) of the rows (id, key, text)."""
+def repeated_spans(rows: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM,
+                   group: int = GROUP) -> DataFrame:
+    """id, key, spans (array of first byte and size, overlapping and unordered) of the rows (id, key, text); `packed`
+    is their packed_texts."""
     n = partitions(rows.sparkSession)
 
     def cut(batch):
@@ -130,17 +137,15 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     cols = "id bigint, key bigint, start bigint, n bigint, unlike bigint, anchor bigint, part binary"
 
     def texts_of(batch):
-        buf = Texts.of(batch.column(2))
         lists = batch.column(3)
-        for i in range(batch.num_rows):
-            text = buf.bytes_of(i)
+        for i, text in enumerate(_unpacked(batch.column(2))):
             got = lists[i].as_py()
             yield {"id": [batch.column(0)[i].as_py()] * len(got), "key": [batch.column(1)[i].as_py()] * len(got),
                    "start": [x["start"] for x in got], "n": [x["n"] for x in got],
                    "unlike": [x["unlike"] for x in got], "anchor": [x["anchor"] for x in got],
                    "part": [text[x["start"]:x["start"] + x["size"]] for x in got]}
 
-    held = rows.join(lists, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", "text", "l")
+    held = packed.join(lists, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", "text", "l")
     parts = stage(per_batch(held, texts_of, cols), "stretches")
 
     def compare(batches):
@@ -250,10 +255,10 @@ def _gone(n: int, spans: list | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
-    """doc_id, text, spans of every row of `docs`."""
+    """doc_id, text (packed), spans of every row of `docs`."""
     rows = _keyed(docs)
-    found = repeated_spans(rows, length, **options)
-    both = rows.join(found, ["id", "key"], "left")
+    packed = packed_texts(rows)
+    both = packed.join(repeated_spans(rows, packed, length, **options), ["id", "key"], "left")
     return both.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias("doc_id"), "text", "spans")
 
 
@@ -261,10 +266,9 @@ def suffix_report(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes) of every row of `docs`."""
 
     def run(batch):
-        t, spans = Texts.of(batch.column(1)), batch.column(2)
+        spans = batch.column(2)
         out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
-        for i in range(batch.num_rows):
-            text = t.bytes_of(i)
+        for i, text in enumerate(_unpacked(batch.column(1))):
             a, b = _gone(len(text), spans[i].as_py())
             kept = hashlib.sha256()
             for x, y in zip([0, *b.tolist()], [*a.tolist(), len(text)]):
