@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorebook.llm.frames import table
+from scorebook.llm.frames import free_name, stage, table
 
 WINDOW, GRAM, PIECE = 10, 5, 4096
 BROADCAST_ROWS = 1 << 20
@@ -136,7 +136,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         known = own.select("win").distinct().withColumn("print", least.bitwiseAND(F.lit(~low)))
         got = _hits(part, prints, known, size, k, bits, broadcast_rows)
         places = got if places is None else places.union(got)
-    return places.select("id", "key", "start", "size", "win"), all_windows.distinct()
+    # written once: two reports read these few rows, and the pass over all texts must not run twice
+    return stage(places.select("id", "key", "start", "size", "win"), "places"), all_windows.distinct()
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -165,9 +166,9 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> Da
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of `docs`, all columns as they are, that hold no benchmark window."""
     places, _ = contamination(docs, benchmark, **options)
-    bad = places.select(F.col("id").alias("__hit_id"), F.col("key").alias("__hit_key")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__hit_id"])
-                     & (F.xxhash64(docs["text"]) == bad["__hit_key"]), "left_anti")
+    own, key = free_name(docs, "hit_id"), free_name(docs, "hit_key")
+    bad = places.select(F.col("id").alias(own), F.col("key").alias(key)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[own]) & (F.xxhash64(docs["text"]) == bad[key]), "left_anti")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,14 @@ def partitions(spark: SparkSession) -> int:
     return default_partitions(spark)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id bigint, text string) of all rows; other columns are left out, whatever their names."""
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm.frames import keyed_texts, per_batch, stage, table
+from scorebook.llm.frames import free_name, keyed_texts, per_batch, stage, table
 from scorebook.llm.graph import components
 from scorebook.llm.words import LOWER, Texts, chunks, windows
 
@@ -205,8 +205,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs`, all columns as they are, that are the smallest id of their component. Of rows that share
     an id, those whose text puts them in a component of a smaller id go."""
-    found = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(found, docs["doc_id"] == found["__gone_id"], "left_anti")
+    gone = free_name(docs, "gone_id")
+    found = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(found, docs["doc_id"] == found[gone], "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm.frames import keyed_texts, packed_texts, partitions, per_batch, table
+from scorebook.llm.frames import free_name, keyed_texts, packed_texts, partitions, per_batch, table
 from scorebook.llm.meeting import key_set, member, own_codes, shared_keys
 from scorebook.llm.words import Texts, chunks, doc_of, packed_chunks, windows
 
@@ -149,8 +149,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     """`docs` with all its columns and rows; texts that lose words become their kept words joined by one space
     (possibly empty), all others stay as they are, null included."""
     texts = _texts(docs, id_col, text_col)
-    gone = removed_words(texts, packed_texts(texts), window).select(F.col("doc_id").alias("__gone_id"), "keys")
-    both = docs.join(gone, F.col(id_col).cast("bigint") == F.col("__gone_id"), "left")
+    own, mine = free_name(docs, "gone_id"), free_name(docs, "gone_keys")
+    gone = removed_words(texts, packed_texts(texts), window).select(F.col("doc_id").alias(own), F.col("keys").alias(mine))
+    both = docs.join(gone, docs[id_col].cast("bigint") == gone[own], "left")
     names, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches):
@@ -173,7 +174,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
             else:
                 yield pa.RecordBatch.from_arrays([batch.column(j) for j in range(len(names))], names=names)
 
-    return both.select(*[docs[c] for c in names], "keys").mapInArrow(run, docs.schema)
+    return both.select(*[docs[c] for c in names], mine).mapInArrow(run, docs.schema)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
