@@ -10,7 +10,7 @@ from dataclasses import dataclass
 _UNSEEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|math|iframe|object|title|textarea|select)"
                      r"\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
 #: A tag with well-formed quotes, any other tag, a declaration, or text.
-_TOKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'<]|\"[^\"<>]*\"|'[^'<>]*')*)>|</?[a-zA-Z][^>]*(?:>|$)|<[!?/][^>]*(?:>|$)"
+_TOKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*)>|</?[a-zA-Z][^>]*(?:>|$)|<[!?/][^>]*(?:>|$)"
                     r"|([^<]+|<)", re.S)
 _BROKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)")
 _NAMES = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)

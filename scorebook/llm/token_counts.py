@@ -80,6 +80,12 @@ def plain(t: Texts, s: int, e: int) -> str:
     return t.buf[s + 1:e].tobytes().decode("utf-8", "replace")
 
 
+def lengths(sp, words: list[str]) -> list[int]:
+    """Token counts of pre-tokens; a lone space (at the end of a text) can't be encoded by itself."""
+    lone = len(sp.encode("a ")) - len(sp.encode("a"))
+    return [len(ids) if w else lone for w, ids in zip(words, sp.encode(words, num_threads=1))]
+
+
 def add_up(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     c = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return c[offs[1:]] - c[offs[:-1]]
@@ -97,8 +103,7 @@ def frequent_table(sample: pa.RecordBatch, model: bytes, slots: int) -> tuple[np
     used = np.flatnonzero(owner >= 0)
     keys, counts = np.zeros(slots, np.int64), np.full(slots, -1, np.int32)
     keys[used] = h[owner[used]]
-    lens = load(model).encode([plain(t, s[i], e[i]) for i in at[owner[used]]], num_threads=1) if len(used) else []
-    counts[used] = [len(x) for x in lens]
+    counts[used] = lengths(load(model), [plain(t, s[i], e[i]) for i in at[owner[used]]]) if len(used) else []
     return keys, counts
 
 
@@ -134,8 +139,8 @@ def count_tokens(docs: DataFrame, model: bytes, slots: int = SLOTS, sample_docs:
                     if len(known) + len(new) > cache:
                         known.clear()
                     words = [plain(t, s[miss[at[i]]], e[miss[at[i]]]) for i in new]
-                    for i, ids in zip(new, sp.encode(words, num_threads=1)):
-                        got[i] = known[int(u[i])] = len(ids)
+                    for i, k in zip(new, lengths(sp, words)):
+                        got[i] = known[int(u[i])] = k
                 n[miss] = np.array(got, np.int64)[back]
             tokens[a:b] = add_up(n, w)
         yield {"doc_id": batch.column(0), "n_bytes": np.diff(raw.offs), "n_tokens": tokens}
