@@ -3,16 +3,22 @@
 A document's set is its distinct word shingles (64-bit fingerprints). Its sketch has
 BUCKETS registers of 16 bits: per bucket of the fingerprint space, the leading-zero count
 (6 bits) and the next MANTISSA bits of the smallest fingerprint. Documents with equal sets
-are one class, kept by its smallest id. Bands of ROWS registers of each class are joined;
+are one class, kept by its smallest id. Bands of ROWS registers of each class are joined
+(for a band, an empty register takes the value of the first filled one in a fixed order of
+its own, so that small sets, too, agree in a band only as often as they are similar);
 candidate pairs must pass the exact size test and the collision-corrected Jaccard
 estimate less MARGIN standard deviations, and are then confirmed on the full sets.
 
-No group's pairs are listed: in a band's group each member is paired with the smallest
-member. Members that this leaves in other components are paired with further pivots, one
-per round, drawn anew from what is left, and after PIVOT_ROUNDS rounds, when only members
-unlike all pivots remain, with the members of other components in their group, whatever
-their number. So no link that the bands find is lost. At a similarity of 0.75 the bands
-miss a pair with a chance of (1 - 0.75**3)**42 = 1e-10 (sets of four shingles: 1e-5).
+A large group's pairs are not listed. In a band's group each member is paired with the
+smallest member. Where that leaves several components, the members outside the largest are
+paired with two of its members, drawn anew in every band and round, so a document in many
+bands meets many of those it resembles. What is then still apart is compared with all
+members of other components in its groups, whatever their number, but in blocks of BLOCK
+members inside tasks, on samples of the sets (a whole set up to 2 * SAMPLE shingles), once
+per pair; only what passes comes out and is confirmed. So no link that the bands find is
+lost. At a similarity of 0.75 the bands miss a pair with a chance of (1 - 0.75**3)**42 =
+1e-10, and the LAST_BANDS of them that the blocks use with one of 2e-5, for the few links
+that no pivot has found.
 
 Null and empty texts have an empty set and are linked with nothing. Rows that share an id
 are judged by their own text; null ids take no part in links and are their own component
@@ -27,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm.frames import free_name, keyed_texts, per_batch, stage, table
+from scorebook.llm.frames import free_name, keyed_texts, partitions, per_batch, stage, table
 from scorebook.llm.graph import components
 from scorebook.llm.words import LOWER, Texts, chunks, windows
 
@@ -35,7 +41,8 @@ SHINGLE, PERCENT = 5, 75
 BUCKET_BITS, MANTISSA, ROWS = 7, 10, 3
 BUCKETS = 1 << BUCKET_BITS
 BANDS = BUCKETS // ROWS
-MARGIN, PIVOT_ROUNDS = 6.0, 3
+LAST_BANDS, BLOCK, SAMPLE = 20, 1024, 256
+MARGIN, PIVOT_ROUNDS, PIVOTS = 6.0, 2, 2
 #: Fixed value: expected share of equal registers of unlike sets, times 2**mantissa bits.
 COLLISION = 0.169919487159739
 
@@ -69,6 +76,14 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
     return np.where(used, ((zeros + 1).astype(np.uint64) << np.uint64(MANTISSA)) | mantissa, 0).astype(np.uint16)
 
 
+def filled(regs: np.ndarray) -> np.ndarray:
+    """Registers with each empty one taken from the first filled one of its own probing order."""
+    out, rng = regs.copy(), np.random.default_rng(BUCKETS)
+    while (out == 0).any() and (regs > 0).any(1).all():
+        out = np.where(out == 0, regs[:, rng.integers(0, BUCKETS, BUCKETS)], out)
+    return out
+
+
 def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, digest (of the set), registers; digest and registers are null for empty sets."""
 
@@ -85,16 +100,15 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def _band_rows(classes: DataFrame) -> DataFrame:
-    """band, node: the bands of each class that have a filled register."""
+    """band, node: the bands of each class."""
     number = np.arange(BANDS, dtype=np.int64) << 48
 
     def run(batch):
         nodes = batch.column(0).to_numpy(zero_copy_only=False)
-        regs = Texts.of(batch.column(2)).buf.view(np.uint16).reshape(-1, BUCKETS)[:, :BANDS * ROWS]
-        r = regs.reshape(-1, BANDS, ROWS).astype(np.int64)
+        regs = Texts.of(batch.column(2)).buf.view(np.uint16).reshape(-1, BUCKETS)
+        r = filled(regs)[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.int64)
         key = (r[:, :, 0] << 32) | (r[:, :, 1] << 16) | r[:, :, 2]
-        i, j = np.nonzero(key)
-        yield {"band": (key + number)[i, j], "node": nodes[i]}
+        yield {"band": (key | number).ravel(), "node": np.repeat(nodes, BANDS)}
 
     return per_batch(classes.select("node", "n", "registers"), run, "band bigint, node bigint")
 
@@ -139,6 +153,93 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return per_batch(both, run, "a bigint, b bigint")
 
 
+def _sampled(shingles: np.ndarray) -> tuple[int, np.ndarray]:
+    """The fingerprints of a set below 2**(64 - level), SAMPLE to 2 * SAMPLE of them; all (level 0) of a small set."""
+    level = max(0, (len(shingles) // SAMPLE).bit_length() - 1)
+    return level, shingles[:np.searchsorted(shingles, np.uint64(1 << 64 - level))] if level else shingles
+
+
+def _block_pairs(groups: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, node) of members of one group (band, node, label, main) with other labels, one of them outside the
+    group's main component, that their samples allow. Each pair comes from the first band that it shares."""
+    spark = groups.sparkSession
+    n = partitions(spark)
+    rows = groups.where(F.shiftright("band", 48).bitwiseAND(F.lit(63)) < LAST_BANDS)
+    blocks = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.select("band", "node", "label", "main", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+
+    def shrink(batch):
+        t = Texts.of(batch.column(1))
+        got = [_sampled(t.buf[x:y].view(np.uint64)) for x, y in zip(t.offs, t.offs[1:])]
+        yield {"node": batch.column(0), "level": [k for k, _ in got], "sample": [u.tobytes() for _, u in got]}
+
+    samples = per_batch(sets.join(rows.select("node").distinct(), "node", "left_semi").select("node", "shingles"), shrink,
+                        "node bigint, level int, sample binary")
+    held = rows.join(samples, "node").join(classes.select("node", "registers"), "node").select(
+        "band", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own", "node", "label", "main", "level",
+        "registers", "sample")
+
+    def compare(batches):
+        have, part = None, []
+        for b in batches:
+            for row in b.to_pylist():
+                key = row["band"], row["i"], row["j"]
+                if part and key != have:
+                    yield from _compared(part, percent)
+                    part = []
+                have = key
+                part.append(row)
+        if part:
+            yield from _compared(part, percent)
+
+    return (held.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
+            .mapInArrow(compare, "a bigint, node bigint"))
+
+
+def _compared(rows: list[dict], percent: int):
+    """The passing pairs of one block or pair of blocks."""
+    band, two = (rows[0]["band"] >> 48) & 63, rows[0]["i"] != rows[0]["j"]
+    node, label, own, level = (np.array([r[c] for r in rows], np.int64) for c in ("node", "label", "own", "level"))
+    regs = np.frombuffer(b"".join(r["registers"] for r in rows), np.uint16).reshape(-1, BUCKETS)
+    keys = filled(regs)[:, :LAST_BANDS * ROWS].reshape(-1, LAST_BANDS, ROWS)
+    parts = [np.frombuffer(r["sample"], np.uint64) for r in rows]
+    flat = np.concatenate(parts)
+    ids = np.unique(flat, return_inverse=True)[1]
+    offs = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    mark = np.zeros(len(flat) + 1, bool)
+    a, b = [], []
+    for x in np.flatnonzero(label != np.array([r["main"] for r in rows])):
+        other = label != label[x]
+        if two:
+            other &= own != own[x]
+        y = np.flatnonzero(other)
+        if not len(y):
+            continue
+        same = (keys[y] == keys[x]).all(2)
+        y = y[same.argmax(1) == band]
+        for k in np.unique(np.maximum(level[y], level[x])):
+            mine = ids[offs[x]:offs[x + 1]]
+            low = np.uint64((1 << 64 - int(k)) - 1)
+            mine = mine[parts[x] <= low]
+            mark[mine] = True
+            at = y[np.maximum(level[y], level[x]) == k]
+            use = flat <= low
+            shared = np.concatenate([[0], np.cumsum(mark[ids] & use)])
+            sizes = np.concatenate([[0], np.cumsum(use)])
+            mark[mine] = False
+            n_shared = shared[offs[at + 1]] - shared[offs[at]]
+            union = np.maximum(len(mine) + sizes[offs[at + 1]] - sizes[offs[at]] - n_shared, 1)
+            p = percent / 100
+            slack = MARGIN * np.sqrt(p * (1 - p) / union) if k else 1e-9
+            hit = at[n_shared / union >= p - slack]
+            a += [int(node[x])] * len(hit)
+            b += node[hit].tolist()
+    for i in range(0, len(a), 10000):
+        yield pa.RecordBatch.from_arrays([pa.array(a[i:i + 10000], pa.int64()), pa.array(b[i:i + 10000], pa.int64())],
+                                         names=["a", "node"])
+
+
 def links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """node, root of the classes (node, n, registers) that are linked to others."""
     spark = docs.sparkSession
@@ -155,25 +256,29 @@ def links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int
     roots = spark.createDataFrame([], "node bigint, root bigint")
     found = spark.createDataFrame([], "a bigint, b bigint")
     tested = spark.createDataFrame([], "a bigint, b bigint")
-    for turn in range(PIVOT_ROUNDS + 1):
+    for turn in range(PIVOT_ROUNDS + 2):
         label = F.coalesce("root", "node").alias("label")
         now = groups.join(roots, "node", "left").select("band", "node", label) if turn else \
             groups.withColumn("label", F.col("node"))
         if turn:  # groups that still hold several components
-            open_ = now.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-            now = stage(now.join(open_, "band", "left_semi"), "open")
+            sizes = now.groupBy("band", "label").agg(F.count(F.lit(1)).alias("k"))
+            main = sizes.groupBy("band").agg(F.max_by("label", F.struct("k", "label")).alias("main"),
+                                             F.count(F.lit(1)).alias("parts"), F.sum("k").alias("all"))
+            main = main.where("parts > 1 and all > 2")  # two members have met
+            now = stage(now.join(main.select("band", "main"), "band"), "open")
             if now.isEmpty():
                 break
-        if turn < PIVOT_ROUNDS:
-            # a member of each group, another one each round; the first round takes the smallest id
-            first = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-            rank = F.struct(first.alias("rank"), "node", "label")
-            pivot = now.groupBy("band").agg(F.min(rank).alias("p")).select(
-                "band", F.col("p.node").alias("a"), F.col("p.label").alias("la"))
-            pairs = now.join(pivot, "band").where(F.col("label") != F.col("la"))
+        if not turn:
+            pivot = now.groupBy("band").agg(F.min("node").alias("a"))
+            pairs = now.join(pivot, "band").where("node != a")
+        elif turn <= PIVOT_ROUNDS:
+            least = [F.min(F.struct(F.xxhash64("node", "band", F.lit(turn * PIVOTS + i)).alias("h"), "node")).alias(f"p{i}")
+                     for i in range(PIVOTS)]
+            pivot = now.where("label = main").groupBy("band").agg(*least)
+            pivot = pivot.select("band", F.array(*[F.col(f"p{i}.node") for i in range(PIVOTS)]).alias("a"))
+            pairs = now.where("label != main").join(pivot, "band").select("node", F.explode("a").alias("a"))
         else:
-            other = now.select("band", F.col("node").alias("a"), F.col("label").alias("la"))
-            pairs = now.join(other, "band").where((F.col("label") > F.col("la")))
+            pairs = _block_pairs(now, classes, sets, percent)
         pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         if turn:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

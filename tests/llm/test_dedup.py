@@ -155,3 +155,22 @@ def test_collection_order_and_common_prefixes():
                 others = ss[:i] + ss[i + 1:]
                 assert list(got) == [k for k in range(len(ss[i]) - length + 1)
                                      if any(ss[i][k:k + length] in o for o in others)]
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_near_duplicates_by_blocks(spark, monkeypatch, block):
+    """Without pivots the block comparison must find all links that the first round leaves, large sets included."""
+    monkeypatch.setattr(near_duplicates, "PIVOT_ROUNDS", 0)
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    rng = random.Random(9)
+    base, rows = [f"w{i}" for i in range(220)], []
+    for i in range(14):
+        copy = list(base)
+        for _ in range(rng.randint(2, 9)):
+            copy[rng.randrange(220)] = f"e{i}"
+        rows.append((1000 - i, " ".join(copy)))
+    long = [f"v{i}" for i in range(3000)]
+    rows += [(10 + i, " ".join(long[:2600 + 60 * i])) for i in range(6)]
+    want = brute.components(rows)
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(frame(spark, rows)).collect()}
+    assert got == want and len(set(want.values())) < len(rows)
