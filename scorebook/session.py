@@ -72,20 +72,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def default_partitions(spark: SparkSession) -> int:
     """Partition count for explicit repartitions: the session's shuffle setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-TARGET_PARTITION_BYTES = 512 * 1024 * 1024
-
-
-def partitions_for(df, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Partition count for an explicit range pass over `df`: the shuffle setting, raised
-    to ~one partition per `target_bytes` of Catalyst's size estimate (capped at 50x the
-    shuffle setting; an unknown estimate keeps the shuffle setting)."""
-    base = default_partitions(df.sparkSession)
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: keep the session setting
-        return base
-    if size <= 0 or size >= 1 << 60:  # default "unknown" estimate
-        return base
-    return max(base, min(50 * base, -(-size // target_bytes)))
