@@ -40,37 +40,44 @@ def _s(prefix: str, c: str) -> Column:
     return F.concat(F.lit(prefix), F.col(c).cast("string"))
 
 
+def _miss(cond: Column, key: Column) -> Column:
+    """`key`, or a key that nothing else has where `cond` holds: that row's lookups miss."""
+    return F.when(cond, F.concat(F.lit("x"), key)).otherwise(key)
+
+
 ORACLE: dict[str, str] = {}
 
 # ---------------------------------------------------------------------------------------
 # shared star fixtures (Spark side and SQL side, kept next to each other)
 
 def star_people(spark, d) -> DataFrame:
-    sup = t(spark, d, "supplier").where("s_nationkey <> 3").select(
-        _s("S", "s_suppkey").alias("identifier"), F.col("s_nationkey").cast("string").alias("key_cricinfo"),
+    # every row is kept; a lookup miss is forced by a changed key ("x..."), the same on the SQL side
+    sup = t(spark, d, "supplier").select(
+        _miss(F.col("s_nationkey") == 3, _s("S", "s_suppkey")).alias("identifier"), F.col("s_nationkey").cast("string").alias("key_cricinfo"),
         F.col("s_name").alias("name"), _s("S", "s_suppkey").alias("unique_name"))
-    part = t(spark, d, "part").where("p_size <> 7").select(
-        _s("P", "p_partkey").alias("identifier"), F.lit(None).cast("string").alias("key_cricinfo"),
+    part = t(spark, d, "part").select(
+        _miss(F.col("p_size") == 7, _s("P", "p_partkey")).alias("identifier"), F.lit(None).cast("string").alias("key_cricinfo"),
         F.col("p_name").alias("name"), _s("P", "p_partkey").alias("unique_name"))
-    cust = t(spark, d, "customer").where("c_mktsegment <> 'MACHINERY'").select(
-        _s("C", "c_custkey").alias("identifier"), F.col("c_nationkey").cast("string").alias("key_cricinfo"),
+    cust = t(spark, d, "customer").select(
+        _miss(F.col("c_mktsegment") == "MACHINERY", _s("C", "c_custkey")).alias("identifier"), F.col("c_nationkey").cast("string").alias("key_cricinfo"),
         F.col("c_name").alias("name"), _s("C", "c_custkey").alias("unique_name"))
     return sup.unionByName(part).unionByName(cust)
 
 
 def star_cricinfo(spark, d) -> DataFrame:
     """Raw headers (upper case, spaces) to exercise the P4 rename."""
-    return t(spark, d, "nation").where("n_regionkey <> 1").select(
-        F.col("n_nationkey").cast("string").alias("ID"),
+    return t(spark, d, "nation").select(
+        _miss(F.col("n_regionkey") == 1, F.col("n_nationkey").cast("string")).alias("ID"),
         F.concat(F.lit("Full "), F.col("n_name")).alias("NAME"),
         F.lit("Right-hand bat").alias("BATTING STYLE"), F.lit("Right-arm").alias("BOWLING STYLE"))
 
 
 def star_leagues(spark, d) -> DataFrame:
-    r = t(spark, d, "region").where("r_regionkey <= 2")
+    r = t(spark, d, "region")
     return r.select(
         F.when(F.col("r_regionkey") == 0, "Team A").when(F.col("r_regionkey") == 1, "Team N")
-        .otherwise("Royal Challengers Bangalore").alias("team_name"),
+        .when(F.col("r_regionkey") == 2, "Royal Challengers Bangalore").otherwise(F.concat(F.lit("x"), "r_name"))
+        .alias("team_name"),
         F.when(F.col("r_regionkey") == 0, F.concat("r_name", F.lit(" International")))
         .otherwise(F.concat("r_name", F.lit(" League"))).alias("league"),
         F.col("r_regionkey").alias("league_tier"))
@@ -78,27 +85,31 @@ def star_leagues(spark, d) -> DataFrame:
 
 SQL_NAMES = """
 people AS (
-  SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS person_id, CAST(s_nationkey AS VARCHAR) AS key_cricinfo,
+  SELECT CASE WHEN s_nationkey = 3 THEN 'x' ELSE '' END || 'S' || CAST(s_suppkey AS VARCHAR) AS person_id,
+         CAST(s_nationkey AS VARCHAR) AS key_cricinfo,
          s_name AS person_name, 'S' || CAST(s_suppkey AS VARCHAR) AS person_unique_name
-  FROM supplier WHERE s_nationkey <> 3
+  FROM supplier
   UNION ALL
-  SELECT 'P' || CAST(p_partkey AS VARCHAR), CAST(NULL AS VARCHAR), p_name, 'P' || CAST(p_partkey AS VARCHAR)
-  FROM part WHERE p_size <> 7
+  SELECT CASE WHEN p_size = 7 THEN 'x' ELSE '' END || 'P' || CAST(p_partkey AS VARCHAR), CAST(NULL AS VARCHAR), p_name,
+         'P' || CAST(p_partkey AS VARCHAR)
+  FROM part
   UNION ALL
-  SELECT 'C' || CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR), c_name, 'C' || CAST(c_custkey AS VARCHAR)
-  FROM customer WHERE c_mktsegment <> 'MACHINERY'),
-ci AS (SELECT CAST(n_nationkey AS VARCHAR) AS key_cricinfo, 'Full ' || n_name AS person_name_espn
-       FROM nation WHERE n_regionkey <> 1),
-pdim AS (SELECT p.person_id, p.key_cricinfo, COALESCE(ci.person_name_espn, p.person_name) AS person_name,
+  SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'x' ELSE '' END || 'C' || CAST(c_custkey AS VARCHAR),
+         CAST(c_nationkey AS VARCHAR), c_name, 'C' || CAST(c_custkey AS VARCHAR)
+  FROM customer),
+ci AS (SELECT CASE WHEN n_regionkey = 1 THEN 'x' ELSE '' END || CAST(n_nationkey AS VARCHAR) AS key_cricinfo,
+              'Full ' || n_name AS person_name_espn
+       FROM nation),
+pdim AS MATERIALIZED (SELECT p.person_id, p.key_cricinfo, COALESCE(ci.person_name_espn, p.person_name) AS person_name,
                 p.person_unique_name
          FROM people p LEFT JOIN ci ON p.key_cricinfo = ci.key_cricinfo),
-names AS (SELECT DISTINCT r.match_id, COALESCE(pd.person_name, r.person_name) AS person_name, r.person_id,
+names AS MATERIALIZED (SELECT DISTINCT r.match_id, COALESCE(pd.person_name, r.person_name) AS person_name, r.person_id,
                  pd.person_unique_name
           FROM registry r LEFT JOIN pdim pd ON r.person_id = pd.person_id)"""
 
 # registry: suppliers and parts of each order's lines, plus the order's customer
 SQL_REGISTRY = """
-registry AS (
+registry AS MATERIALIZED (
   SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS match_id, 'S' || CAST(l_suppkey AS VARCHAR) AS person_name,
          'S' || CAST(l_suppkey AS VARCHAR) AS person_id FROM lineitem
   UNION
@@ -254,6 +265,40 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CAST(o_orderd
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
+# C4 with null values, and with groups scattered over the order
+def q_running_nulls(spark, d):
+    ev = t(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    out = running_total(ev, ["user_id"], ["ts", "event_id"],
+                        F.when(F.col("event_type") == "error", F.col("event_id") % 7), "error_sum")
+    return out.select("event_id", "user_id", "error_sum")
+
+
+ORACLE["running_nulls"] = """
+SELECT event_id, user_id,
+  CAST(SUM(CASE WHEN event_type = 'error' THEN event_id % 7 END)
+       OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS BIGINT) AS error_sum
+FROM events"""
+
+
+def q_running_scattered(spark, d):
+    from scorebook.operators.sequence import running_total_with_ids
+
+    ev = t(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    out = running_total_with_ids(ev, ["event_type"], ["ts", "event_id"], F.when(F.col("user_id") % 3 != 0, F.col("user_id")),
+                                 "user_sum", "position")
+    return out.select("event_id", "event_type", "user_sum", "position")
+
+
+ORACLE["running_scattered"] = """
+SELECT event_id, event_type,
+  CAST(SUM(CASE WHEN user_id % 3 <> 0 THEN user_id END)
+       OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS BIGINT) AS user_sum,
+  CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS position
+FROM events"""
+
+
 # C1 (J1-J6, F6, F8, P3, A4): lineitem roles batter = supplier, bowler = part, per order
 def _role_fact(spark, d):
     return t(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("match_id"), "l_linenumber",
@@ -307,10 +352,10 @@ def q_league_type_fix(spark, d):
         "c_custkey", _s("Team ", "c_nationkey").alias("batting_team"),
         F.when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "ODM").otherwise(F.col("c_mktsegment"))
         .alias("match_type"))
-    nat = t(spark, d, "nation").where("n_regionkey <> 4")
+    nat = t(spark, d, "nation")
     reg = t(spark, d, "region")
     m = nat.join(reg, nat["n_regionkey"] == reg["r_regionkey"]).select(
-        _s("Team ", "n_nationkey").alias("team_name"),
+        _miss(F.col("n_regionkey") == 4, _s("Team ", "n_nationkey")).alias("team_name"),
         F.concat("r_name", F.when(F.col("r_regionkey").isin(0, 2), F.lit(" INTERNATIONAL cup"))
                  .otherwise(F.lit(" League"))).alias("league"))
     out = cust.join(m, cust["batting_team"] == m["team_name"], "left").drop("team_name")
@@ -321,9 +366,9 @@ ORACLE["league_type_fix"] = """
 WITH c AS (SELECT c_custkey, 'Team ' || CAST(c_nationkey AS VARCHAR) AS batting_team,
                   CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'ODM' ELSE c_mktsegment END AS match_type
            FROM customer),
-m AS (SELECT 'Team ' || CAST(n_nationkey AS VARCHAR) AS team_name,
+m AS (SELECT CASE WHEN n_regionkey = 4 THEN 'x' ELSE '' END || 'Team ' || CAST(n_nationkey AS VARCHAR) AS team_name,
              r_name || CASE WHEN r_regionkey IN (0, 2) THEN ' INTERNATIONAL cup' ELSE ' League' END AS league
-      FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey <> 4)
+      FROM nation JOIN region ON n_regionkey = r_regionkey)
 SELECT c.c_custkey, c.batting_team,
        CASE WHEN c.match_type = 'ODM' AND contains(lower(m.league), 'international') THEN 'ODI'
             ELSE c.match_type END AS match_type,
@@ -437,8 +482,14 @@ SELECT match_id, 'both' AS side FROM (SELECT match_id FROM landed INTERSECT SELE
 
 
 def q_duplicate_guard(spark, d):
-    hits = K.seen_keys(_landed(spark, d), _processed(spark, d))
-    return hits.agg((F.count(F.lit(1)) > 0).alias("has_duplicates"), F.count(F.lit(1)).alias("n_seen"))
+    landed, processed = _landed(spark, d), _processed(spark, d)
+    try:
+        K.duplicate_guard(landed, processed)
+        raised = False
+    except ValueError:
+        raised = True
+    hits = K.seen_keys(landed, processed)
+    return hits.agg(F.lit(raised).alias("has_duplicates"), F.count(F.lit(1)).alias("n_seen"))
 
 
 ORACLE["duplicate_guard"] = f"""WITH {SQL_SPLIT}
@@ -448,8 +499,8 @@ WHERE EXISTS (SELECT 1 FROM processed p WHERE p.match_id = l.match_id)"""
 
 def q_delta_count(spark, d):
     landed, processed = _landed(spark, d), _processed(spark, d)
-    fresh = landed.join(processed.select("match_id"), "match_id", "left_anti").dropna(how="any")
-    return fresh.agg(F.count(F.lit(1)).alias("n_new"))
+    fresh = landed.join(processed.select("match_id"), "match_id", "left_anti")
+    return fresh.limit(0).agg(F.lit(K.delta_count(fresh)).cast("bigint").alias("n_new"))
 
 
 ORACLE["delta_count"] = f"""WITH {SQL_SPLIT}
@@ -800,11 +851,11 @@ m2 AS (SELECT mi.* REPLACE (COALESCE(np.person_name, mi.player_of_match) AS play
        FROM mi LEFT JOIN names np ON np.person_unique_name = mi.player_of_match AND np.match_id = mi.match_id),
 j AS (SELECT * FROM d1 JOIN m2 USING (match_id)),
 rep AS (SELECT * REPLACE ({replaced}) FROM j),
-lg AS (SELECT CASE r_regionkey WHEN 0 THEN 'Team A' WHEN 1 THEN 'Team N' ELSE 'Royal Challengers Bangalore' END
-                AS team_name,
+lg AS (SELECT CASE r_regionkey WHEN 0 THEN 'Team A' WHEN 1 THEN 'Team N' WHEN 2 THEN 'Royal Challengers Bangalore'
+                   ELSE 'x' || r_name END AS team_name,
               CASE WHEN r_regionkey = 0 THEN r_name || ' International' ELSE r_name || ' League' END AS league,
               r_regionkey AS league_tier
-       FROM region WHERE r_regionkey <= 2),
+       FROM region),
 k AS (SELECT rep.* REPLACE (CASE WHEN rep.match_type = 'ODM' AND contains(lower(lg.league), 'international')
                                  THEN 'ODI' ELSE rep.match_type END AS match_type),
              lg.league, lg.league_tier
@@ -838,6 +889,8 @@ QUERIES = {
     "participant_position": q_participant_position,
     "sequential_id": q_sequential_id,
     "running_ids": q_running_ids,
+    "running_nulls": q_running_nulls,
+    "running_scattered": q_running_scattered,
     "resolve_roles": q_resolve_roles,
     "role_map_lookup": q_role_map_lookup,
     "dimension_name_override": q_dimension_name_override,
