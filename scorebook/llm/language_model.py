@@ -39,9 +39,9 @@ from scorebook.llm.shared_files import map_arrays, write_arrays
 from scorebook.llm.words import LOWER, chunks, mix
 from scorebook.session import checkpoint_dir
 
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 SUB_BUCKETS = 4
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 2 << 20
 MASK = np.uint64((1 << 48) - 1)
 START, END = np.uint64(1), np.uint64(2)
 STATS = ("c", "a", "n1", "n2", "n3")

@@ -39,7 +39,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) mod 2**64, kept per process and grown on demand."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        m = 1 << max(12, (n - 1).bit_length())
+        m = -(-n // 65536) * 65536
         with np.errstate(over="ignore"):
             have = np.full(m, U64(base))
             have[0] = 1
