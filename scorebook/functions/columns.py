@@ -16,7 +16,7 @@ __all__ = [
     "parse_date", "first_map_entry", "nested_json_value", "opponent", "declared_flag",
     "rename_columns", "normalise_name", "drop_prefixed", "columns_of_type", "string_columns",
     "cast_timestamps_to_date", "cast_to_schema", "replace_values", "blank_to_null",
-    "match_type_fix", "null_flags",
+    "match_type_fix",
 ]
 
 
@@ -74,8 +74,10 @@ def last_of(arr) -> Column:
 
 
 def parse_date(x) -> Column:
-    """`YYYY-MM-DD` text (or a timestamp text starting with it) -> date, else null."""
-    return F.try_to_date(F.substring(_c(x), 1, 10), "yyyy-MM-dd")
+    """`YYYY-MM-DD` text, or the whole of an ISO timestamp text, -> date; anything else is null."""
+    v = _c(x)
+    stamp = F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.try_to_timestamp(v).cast("date"))
+    return F.coalesce(F.try_to_date(v, "yyyy-MM-dd"), stamp)
 
 
 def first_map_entry(m) -> Column:
@@ -103,11 +105,6 @@ def declared_flag(x) -> Column:
     return F.when(v.isin("yes", "true"), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
 
-def null_flags(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """F8: {source column: flag column} -> boolean `is null` flags."""
-    return df.withColumns({out: F.col(src).isNull() for src, out in cols.items()})
-
-
 # -- schema-driven column operations ----------------------------------------------------
 
 def normalise_name(name: str) -> str:

@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def sql(spark: SparkSession, text: str) -> DataFrame:
-    """Q1: run SQL text, get a DataFrame (lazy)."""
-    return spark.sql(text)
-
-
 def register(df: DataFrame, name: str) -> DataFrame:
     """Q2: register a temp view; returns the frame for chaining."""
     df.createOrReplaceTempView(name)

@@ -19,14 +19,15 @@ from scorebook.functions.columns import (ball_facts, blank_to_null, cast_timesta
                                          opponent, rename_columns, replace_values)
 from scorebook.operators import keys as K
 from scorebook.operators.extract import (attach_events, extract_deliveries, extract_match_info,
-                                         extract_registry, quarantine_reasons, valid_documents)
+                                         extract_registry, quarantine_reasons, readable_documents, valid_documents)
 from scorebook.operators.resolve import (name_override, person_dimension, person_names, resolve_roles,
                                          resolve_roles_by_map)
 from scorebook.operators.sequence import (attach_positions, first_appearance_order, running_total,
                                           sequential_id)
 from scorebook.plans.dataset import build_dataset
 from scorebook.plans.search import competition_search, event_rows, register
-from scorebook.sources.documents import json_text, parse_documents, yaml_to_json
+from scorebook.schemas import DOCUMENT_DDL, INFO_DDL
+from scorebook.sources.documents import json_text, key_from_path, parse_documents
 from scorebook.sources.tables import sql_parquet
 
 _view_ids = itertools.count()
@@ -540,13 +541,15 @@ def _team(f: Column) -> Column:
 
 
 def _ball(x: Column, damage: Column | None = None) -> Column:
-    """One ball entry. With `damage` (a per-order condition), line 3 loses its required
-    `runs` and line 2 gets a ball key that is not a number (quarantine fixtures)."""
+    """One ball entry. With `damage` (a per-order condition), line 3 loses its required `runs`, line 2
+    gets a ball key that is not a number and line 1 runs that are none (quarantine fixtures)."""
     batsman = F.concat(F.lit("S"), x["l_suppkey"].cast("string"))
     runs_bat = F.floor(x["l_quantity"] / 8).cast("bigint")
     extras = F.when(x["l_discount"] != 0, F.round(x["l_discount"] * 100).cast("bigint"))
     key = (x["l_linenumber"].cast("double") + (x["l_quantity"] % 10) / 10).cast("string")
-    runs = F.struct(runs_bat.alias("batsman"), extras.alias("extras"),
+    shown = runs_bat if damage is None else F.when((damage == "3-MEDIUM") & (x["l_linenumber"] == 1), F.lit("four")) \
+        .otherwise(runs_bat.cast("string"))
+    runs = F.struct(shown.alias("batsman"), extras.alias("extras"),
                     (runs_bat + F.coalesce(extras, F.lit(0).cast("bigint"))).alias("total"))
     if damage is not None:
         key = F.when((damage == "4-NOT SPECIFIED") & (x["l_linenumber"] == 2), F.concat(F.lit("ball "), key)).otherwise(key)
@@ -575,9 +578,17 @@ def order_documents(spark, d, damaged: bool = False) -> DataFrame:
     teams = F.transform(flags, _team)
     status = F.col("o_orderstatus")
     n_lines = F.size("lines").cast("double")
-    by = (F.when(status == "P", F.create_map(F.lit("innings"), F.lit(1.0), F.lit("runs"),
-                                             F.col("o_custkey").cast("double")))
-          .when(status == "F", F.create_map(F.lit("wickets"), n_lines)))
+    margin = n_lines.cast("string")  # a quoted margin is a number all the same
+    if damaged:
+        margin = F.when(F.col("o_orderpriority") == "2-HIGH", F.concat(margin, F.lit(" wickets"))).otherwise(margin)
+    by = (F.when(status == "P", F.create_map(F.lit("innings"), F.lit("1.0"), F.lit("runs"),
+                                             F.col("o_custkey").cast("double").cast("string")))
+          .when(status == "F", F.create_map(F.lit("wickets"), margin)))
+    dates = F.array_sort(F.array_distinct(F.transform("lines", lambda x: F.date_format(x["l_shipdate"], "yyyy-MM-dd"))))
+    if damaged:  # text behind the first date
+        first = F.concat(F.coalesce(F.get(dates, 0), F.lit("")), F.lit("garbage"))
+        rest = F.slice(dates, F.lit(2), F.greatest(F.size(dates) - 1, F.lit(0)))
+        dates = F.when(F.col("o_custkey") % 10 == 3, F.concat(F.array(first), rest)).otherwise(dates)
     person = lambda p, c: F.struct(F.concat(F.lit(p), c.cast("string")).alias("k"),
                                    F.concat(F.lit(p), c.cast("string")).alias("v"))
     people = F.map_from_entries(F.array_distinct(F.concat(
@@ -586,8 +597,7 @@ def order_documents(spark, d, damaged: bool = False) -> DataFrame:
         F.array(person("C", F.col("o_custkey"))))))
     info = F.struct(
         F.col("o_orderpriority").alias("city"),
-        F.array_sort(F.array_distinct(F.transform("lines", lambda x: F.date_format(x["l_shipdate"], "yyyy-MM-dd"))))
-        .alias("dates"),
+        dates.alias("dates"),
         F.when(status == "F", "ODM").when(status == "O", "T20").otherwise("Test").alias("match_type"),
         F.when(F.col("o_totalprice") > 150000, "male").otherwise("female").alias("gender"),
         F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["l_linestatus"]))).alias("umpires"),
@@ -610,49 +620,49 @@ def order_documents(spark, d, damaged: bool = False) -> DataFrame:
                     F.to_json(F.struct(info.alias("info"), innings.alias("innings"))).alias("doc_json"))
 
 
-def order_docs_parsed(spark, d, via_yaml: bool = False) -> DataFrame:
-    raw = order_documents(spark, d)
-    if via_yaml:
-        texts = yaml_to_json(raw.select("match_id", "path", F.col("doc_json").cast("binary").alias("content")))
-    else:
-        texts = json_text(raw.select("match_id", "path", F.col("doc_json").cast("binary").alias("content")))
-    return valid_documents(parse_documents(texts))
+def order_docs_parsed(spark, d, damaged: bool = False, ddl: str = DOCUMENT_DDL) -> DataFrame:
+    """The documents by the JSON route; the key comes from the path."""
+    raw = order_documents(spark, d, damaged)
+    files = raw.select(key_from_path("path").alias("match_id"), "path", F.col("doc_json").cast("binary").alias("content"))
+    return parse_documents(json_text(files), ddl)
 
 
 def q_doc_quarantine(spark, d):
-    """Quarantine reasons for damaged documents (whole-file, D5)."""
-    raw = order_documents(spark, d, damaged=True)
-    texts = json_text(raw.select("match_id", "path", F.col("doc_json").cast("binary").alias("content")))
-    return quarantine_reasons(parse_documents(texts)).select("match_id", "reason", "fatal")
+    """Problems of damaged documents, each with the table it is about."""
+    return quarantine_reasons(order_docs_parsed(spark, d, damaged=True)).select("match_id", "table", "reason", "fatal")
 
 
 ORACLE["doc_quarantine"] = """
-WITH o AS (SELECT o_orderkey, o_orderpriority,
+WITH o AS (SELECT o_orderkey, o_orderpriority, o_orderstatus, o_custkey,
                   EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey) AS has_lines,
                   EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linenumber = 3) AS has3,
-                  EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linenumber = 2) AS has2
-           FROM orders)
-SELECT CAST(o_orderkey AS VARCHAR) AS match_id,
-       CASE WHEN o_orderpriority = '5-LOW' AND has3 THEN 'missing_runs'
-            WHEN o_orderpriority = '4-NOT SPECIFIED' AND has2 THEN 'bad_ball_key'
-            ELSE 'empty_innings' END AS reason,
-       NOT (NOT has_lines AND NOT (o_orderpriority = '5-LOW' AND has3)
-            AND NOT (o_orderpriority = '4-NOT SPECIFIED' AND has2)) AS fatal
-FROM o
-WHERE NOT has_lines OR (o_orderpriority = '5-LOW' AND has3) OR (o_orderpriority = '4-NOT SPECIFIED' AND has2)"""
+                  EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linenumber = 2) AS has2,
+                  EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linenumber = 1) AS has1
+           FROM orders),
+p AS (
+  SELECT o_orderkey, 'deliveries' AS "table", 'missing_runs' AS reason, true AS fatal FROM o WHERE o_orderpriority = '5-LOW' AND has3
+  UNION ALL SELECT o_orderkey, 'deliveries', 'bad_ball_key', true FROM o WHERE o_orderpriority = '4-NOT SPECIFIED' AND has2
+  UNION ALL SELECT o_orderkey, 'deliveries', 'bad_runs', true FROM o WHERE o_orderpriority = '3-MEDIUM' AND has1
+  UNION ALL SELECT o_orderkey, 'deliveries', 'empty_innings', false FROM o WHERE NOT has_lines
+  UNION ALL SELECT o_orderkey, 'match_info', 'bad_margin', false FROM o WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'
+  UNION ALL SELECT o_orderkey, 'match_info', 'bad_date', false FROM o WHERE o_custkey % 10 = 3)
+SELECT CAST(o_orderkey AS VARCHAR) AS match_id, "table", reason, fatal FROM p"""
 
 
 def q_doc_deliveries(spark, d):
-    """S1 through the YAML helper (JSON text is valid YAML), then E1-E7."""
-    return extract_deliveries(order_docs_parsed(spark, d, via_yaml=True))
+    """S1 (JSON), then E1-E7."""
+    return extract_deliveries(valid_documents(order_docs_parsed(spark, d), "deliveries"))
 
 
+# match info and registry of damaged documents: a bad ball, margin or date does not remove them
 def q_doc_match_info(spark, d):
-    return extract_match_info(order_docs_parsed(spark, d))
+    docs = readable_documents(order_docs_parsed(spark, d, damaged=True, ddl=INFO_DDL))
+    event = docs.select("match_id", F.col("doc.info.event.name").alias("event"))  # E15 from the document
+    return attach_events(extract_match_info(docs), event)
 
 
 def q_doc_registry(spark, d):
-    return extract_registry(order_docs_parsed(spark, d))
+    return extract_registry(readable_documents(order_docs_parsed(spark, d, damaged=True, ddl=INFO_DDL)))
 
 
 def q_doc_event(spark, d):
@@ -728,7 +738,15 @@ MATCH_INFO_OUT = ["match_id", "city", "match_start_date", "match_end_date", "mat
                   "umpire_2", "win_by", "win_margin", "winner", "player_of_match", "team1", "team2",
                   "toss_decision", "toss_winner", "venue"]
 
-ORACLE["doc_match_info"] = f"WITH {SQL_MATCH_INFO} SELECT {', '.join(MATCH_INFO_OUT)} FROM mi"
+_DAMAGED = f"""
+SELECT mi.* REPLACE (
+    CASE WHEN o.o_custkey % 10 = 3 THEN NULL ELSE mi.match_start_date END AS match_start_date,
+    CASE WHEN o.o_orderpriority = '2-HIGH' AND o.o_orderstatus = 'F' THEN NULL ELSE mi.win_margin END AS win_margin,
+    -- the last of one date is the damaged one
+    CASE WHEN o.o_custkey % 10 = 3 AND mi.match_start_date IS NOT DISTINCT FROM mi.match_end_date THEN NULL
+         ELSE mi.match_end_date END AS match_end_date)
+FROM mi JOIN orders o ON mi.match_id = CAST(o.o_orderkey AS VARCHAR)"""
+ORACLE["doc_match_info"] = f"WITH {SQL_MATCH_INFO} SELECT {', '.join([*MATCH_INFO_OUT, 'event'])} FROM ({_DAMAGED})"
 ORACLE["doc_registry"] = f"WITH {SQL_REGISTRY} SELECT match_id, person_name, person_id FROM registry"
 
 
@@ -774,7 +792,7 @@ def q_search_like(spark, d):
     li = t(spark, d, "lineitem")
     register(li.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.when(F.col("l_returnflag") == "A", F.concat(F.lit("Cricket World Cup Super League "), "l_linestatus"))
+        F.when(F.col("l_returnflag") == "A", F.concat(F.lit("National Super League "), "l_linestatus"))
         .otherwise(F.concat(F.lit("Club "), "l_linestatus")).alias("event"),
         F.nullif(F.when(F.col("l_linestatus") == "F", "bowled").otherwise(""), F.lit("")).alias("wicket_type")), view)
     return event_rows(spark, view, "%Super League%")
@@ -783,7 +801,7 @@ def q_search_like(spark, d):
 ORACLE["search_like"] = """
 SELECT * FROM (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CASE WHEN l_returnflag = 'A' THEN 'Cricket World Cup Super League ' || l_linestatus ELSE 'Club ' || l_linestatus END
+    CASE WHEN l_returnflag = 'A' THEN 'National Super League ' || l_linestatus ELSE 'Club ' || l_linestatus END
       AS event,
     NULLIF(CASE WHEN l_linestatus = 'F' THEN 'bowled' ELSE '' END, '') AS wicket_type
   FROM lineitem)
@@ -805,7 +823,7 @@ ORACLE["normalised_columns"] = "SELECT c_custkey AS cust_key, c_name AS cust_nam
 def q_wide_dataset(spark, d):
     from scorebook.operators.sequence import stage
 
-    docs = stage(order_docs_parsed(spark, d).select("match_id", "doc"), "docs")
+    docs = stage(valid_documents(order_docs_parsed(spark, d), "deliveries").select("match_id", "doc"), "docs")
     deliveries = extract_deliveries(docs)
     events = docs.select("match_id", F.col("doc.info.event.name").alias("event"))
     match_info = attach_events(extract_match_info(docs), events)

@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Hadoop-FS existence check (works for any filesystem Spark can read)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """S3: Parquet scan, with an explicit schema when given."""
     r = spark.read
@@ -22,9 +15,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table if present, else an empty frame of the same schema."""
-    if path_exists(spark, path):
+    try:
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -10,20 +10,18 @@ stops; drop it for a continuous stream.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from scorebook import schemas
-from scorebook.operators.extract import (extract_deliveries, extract_match_info, extract_registry,
-                                         quarantine_reasons, valid_documents)
-from scorebook.plans.refresh import Layout, append_new, append_new_events
-from scorebook.sources.documents import json_text, key_from_path, parse_documents, yaml_to_json
+from scorebook.operators.extract import quarantine_reasons
+from scorebook.operators.sequence import stage
+from scorebook.plans.refresh import (EXTRACTORS, TABLE_SCHEMAS, Layout, append_keys, append_new, append_new_events,
+                                     append_problems)
+from scorebook.sources.documents import json_text, key_from_path, landed_files, parse_documents, yaml_to_json
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def document_stream(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", f"*.{layout.suffix}"))
+    reader = landed_files(spark.readStream.schema(BINARY_FILE_SCHEMA), layout.suffix)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(layout.landing).select("path", key_from_path("path").alias("match_id"), "content")
@@ -31,27 +29,22 @@ def document_stream(spark: SparkSession, layout: Layout, max_files_per_trigger:
     return parse_documents(texts)
 
 
-def _process_batch(layout: Layout):
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        docs = batch.persist()
-        problems = quarantine_reasons(docs)
-        valid = valid_documents(docs)
-        append_new(spark, extract_deliveries(valid), layout.table("deliveries"), schemas.DELIVERIES)
-        append_new(spark, extract_match_info(valid), layout.table("match_info"), schemas.MATCH_INFO)
-        append_new(spark, extract_registry(valid), layout.table("registry"), schemas.REGISTRY)
-        docs.select("match_id").distinct().write.mode("append").parquet(layout.table("manifest"))
-        problems.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(layout.table("quarantine"))
-        append_new_events(spark, layout)
-        docs.unpersist()
-    return run
+def process_batch(layout: Layout, batch: DataFrame, batch_id: int) -> None:
+    """One micro-batch, by the same writes as the batch job: running it again changes nothing."""
+    spark = batch.sparkSession
+    docs = stage(batch.select("match_id", "path", "doc", "error"), "documents")
+    for name, extract in EXTRACTORS.items():
+        append_new(spark, extract(docs), layout.table(name), TABLE_SCHEMAS[name])
+    append_problems(spark, layout, quarantine_reasons(docs))
+    append_new_events(spark, layout)
+    append_keys(spark, layout, docs, f"stream-{batch_id}")
 
 
 def start_refresh_stream(spark: SparkSession, layout: Layout, checkpoint: str,
                          available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the stream; returns the StreamingQuery (call awaitTermination())."""
     w = (document_stream(spark, layout, max_files_per_trigger).writeStream
-         .foreachBatch(_process_batch(layout)).option("checkpointLocation", checkpoint))
+         .foreachBatch(lambda batch, batch_id: process_batch(layout, batch, batch_id)).option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()

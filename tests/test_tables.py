@@ -3,19 +3,17 @@
 from pyspark.sql import types as T
 
 from scorebook import schemas
-from scorebook.sources.tables import (path_exists, read_csv, read_table, read_table_or_empty, schema_from_dict,
+from scorebook.sources.tables import (read_csv, read_table, read_table_or_empty, schema_from_dict,
                                       sql_parquet, write_table)
 
 
 def test_table_or_empty_and_append(spark, tmp_path):
     path = str(tmp_path / "registry")
-    assert not path_exists(spark, path)
     empty = read_table_or_empty(spark, path, schemas.REGISTRY)
     assert empty.count() == 0 and empty.schema == schemas.REGISTRY
     rows = spark.createDataFrame([("1", "A Ann", "p1")], schemas.REGISTRY)
     write_table(rows, path)
     write_table(rows, path)  # append
-    assert path_exists(spark, path)
     assert read_table(spark, path, schemas.REGISTRY).count() == 2
     assert sql_parquet(spark, path).count() == 2
 
