@@ -248,4 +248,30 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_quality_rules": op1_quality_rules}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op1_quality_rules": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+f AS (
+  SELECT doc_id, w, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         len(ls) AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         len(list_filter(w, lambda x: length(regexp_replace(x, '[^A-Z]', '', 'g')) >= 2 AND NOT regexp_matches(x, '[a-z]'))) AS loud,
+         len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS letters
+  FROM d),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(n_words - 1, 1))) AS i FROM f)),
+r AS (SELECT doc_id, count(DISTINCT k)::BIGINT AS n
+      FROM (SELECT doc_id, unnest(range(i, i + 3)) AS k FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1)
+      GROUP BY doc_id),
+b AS (SELECT f.*, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+             n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed
+      FROM f LEFT JOIN r USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * n_symbols <= 10 * n_words AND (n_dup_lines < 3 OR 100 * n_dup_lines <= 30 * n_lines)
+       AND 100 * loud <= 50 * n_words AND 100 * letters >= 70 * n_words
+       AND word_chars BETWEEN 2 * n_words AND 20 * n_words AS kept
+FROM b
+"""}

@@ -182,4 +182,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_substring_dedup": op2_substring_dedup}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op2_substring_dedup": r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM d)),
+m AS (SELECT g, min(doc_id) AS low FROM g GROUP BY g HAVING count(DISTINCT doc_id) > 1),
+gone AS (SELECT doc_id, list(DISTINCT k) AS ks
+         FROM (SELECT doc_id, unnest(range(i, i + 13)) AS k FROM g JOIN m USING (g) WHERE doc_id > low) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed,
+       sha256(CASE WHEN ks IS NULL THEN array_to_string(w, ' ')
+              ELSE array_to_string(list_filter(w, lambda x, i: NOT list_contains(ks, i)), ' ') END) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""}
