@@ -30,15 +30,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) of every node with an edge; `edges` has columns a, b.
 
-    Each round writes its edges to the checkpoint folder, so the lineage stays short. The rounds end when the
-    edges no longer change; their number grows with the logarithm of a component's size."""
+    Each round writes its edges to the checkpoint folder, so the lineage stays short. The rounds end when no edge
+    leads to the larger end of another, that is, all components are stars; their number grows with the logarithm of a
+    component's size."""
     now = stage(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                 .distinct(), "edges")
-    seen = None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == mark or not mark[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-                now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = mark
+    while not now.join(now.select(F.col("v").alias("u")), "u", "left_semi").isEmpty() or _many_centres(now):
         now = stage(_small_star(_large_star(now)), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def _many_centres(edges: DataFrame) -> bool:
+    """Whether a node has two smaller neighbours."""
+    return not edges.groupBy("u").count().where("count > 1").isEmpty()

@@ -11,8 +11,8 @@ estimate less MARGIN standard deviations, and are then confirmed on the full set
 
 A large group's pairs are not listed. In a band's group each member is paired with the
 smallest member. Where that leaves several components, the members outside the largest are
-paired with two of its members, drawn anew in every band and round, so a document in many
-bands meets many of those it resembles. What is then still apart is compared with all
+paired with PIVOTS of its members, drawn anew in every band and round, so a document in
+many bands meets many of those it resembles. What is then still apart is compared with all
 members of other components in its groups, whatever their number, but in blocks of BLOCK
 members inside tasks, on samples of the sets (a whole set up to 2 * SAMPLE shingles), once
 per pair; only what passes comes out and is confirmed. So no link that the bands find is
@@ -42,7 +42,7 @@ BUCKET_BITS, MANTISSA, ROWS = 7, 10, 3
 BUCKETS = 1 << BUCKET_BITS
 BANDS = BUCKETS // ROWS
 LAST_BANDS, BLOCK, SAMPLE = 20, 1024, 256
-MARGIN, PIVOT_ROUNDS, PIVOTS = 6.0, 2, 2
+MARGIN, PIVOT_ROUNDS, PIVOTS = 6.0, 1, 3
 #: Fixed value: expected share of equal registers of unlike sets, times 2**mantissa bits.
 COLLISION = 0.169919487159739
 
@@ -284,8 +284,10 @@ def links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         tested = tested.union(pairs) if turn else pairs
-        found = stage(found.union(_confirmed(_estimated(pairs, classes, percent), sets, percent)), "links")
-        roots = components(found)
+        new = stage(_confirmed(_estimated(pairs, classes, percent), sets, percent), "links")
+        if not new.isEmpty():
+            found = found.union(new)
+            roots = components(found)
     return roots
 
 
