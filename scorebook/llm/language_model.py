@@ -159,6 +159,7 @@ def train(texts: DataFrame) -> dict:
             yield from flush()
 
     def add(batches):
+        seen = []
         for b, rows in _by_bucket(batches):
             word, before, c = [], [], []
             for p in rows:
@@ -175,10 +176,16 @@ def train(texts: DataFrame) -> dict:
             stats = [add(w, c), add(w, np.ones(len(c))), add(h, c == 1), add(h, c == 2), add(h, c >= 3)]
             if (u == START).any():  # the start is never predicted; its count as a context is the number of texts
                 stats[0][u == START] = add(h, c)[u == START]
-            out = [(i, 0, p, [0] * 5, 0, 0) for i, p in _spread_words((u, stats), buckets)]
-            out.append((-1, 1, b"", _tally(c), int(c.sum()), len(c)))
-            yield from _arrow(out, ["bucket", "kind", "payload", "tally", "total", "types"],
-                              [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64()])
+            seen.append((u, stats))
+            yield from sent_rows([(-1, 1, b"", _tally(c), int(c.sum()), len(c))])
+        if seen:  # the words of all buckets of this task at once
+            u, back = np.unique(np.concatenate([x for x, _ in seen]), return_inverse=True)
+            stats = [np.bincount(back, np.concatenate([x[i] for _, x in seen]), len(u)).astype(np.int64) for i in range(5)]
+            yield from sent_rows([(i, 0, p, [0] * 5, 0, 0) for i, p in _spread_words((u, stats), n)])
+
+    def sent_rows(out):
+        return _arrow(out, ["bucket", "kind", "payload", "tally", "total", "types"],
+                      [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64()])
 
     sent = texts.select("text").mapInArrow(count, "bucket int, payload binary")
     ddl = "bucket int, kind int, payload binary, tally array<bigint>, total bigint, types bigint"
@@ -201,7 +208,7 @@ def train(texts: DataFrame) -> dict:
     one = _sums(words.where("kind = 1"))
     two = _sums(_dealt(words.where("kind = 0").select("bucket", "payload"), n)
                 .mapInArrow(add_words, "tally array<bigint>, types bigint, total bigint"))
-    return {"folder": folder, "buckets": buckets, "tokens": one["total"], "words": two["types"], "pairs": two["total"],
+    return {"folder": folder, "buckets": {"bigrams": buckets, "words": n}, "tokens": one["total"], "words": two["types"], "pairs": two["total"],
             "bigram_discounts": discounts(one["tally"]), "word_discounts": discounts(two["tally"]), "word_tally": two["tally"]}
 
 
@@ -236,7 +243,7 @@ class Lookup:
     def find(self, kind: str, keys: np.ndarray, place: np.ndarray, names: tuple) -> list[np.ndarray]:
         """Values of distinct keys, 0 where there are none; `place` (ascending) tells the bucket."""
         out = [np.zeros(len(keys), np.float64) for _ in names]
-        for b, x, y in _cut(bucket_of(place, self.m["buckets"]), self.m["buckets"]):
+        for b, x, y in _cut(bucket_of(place, self.m["buckets"][kind]), self.m["buckets"][kind]):
             f = self._file(kind, b)
             if f is None:
                 continue
