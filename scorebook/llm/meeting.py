@@ -88,6 +88,8 @@ class Batch:
 
     def add(self, ids: np.ndarray, doc: np.ndarray, h: np.ndarray, flag: np.ndarray | None):
         base = sum(map(len, self.ids))
+        held = np.bincount(doc, minlength=len(ids)) > 0  # documents without fingerprints stay out
+        ids, doc = ids[held], (np.cumsum(held) - 1)[doc]
         self.ids.append(ids)
         self.h.append(h)
         self.doc.append((doc + base).astype(np.uint32))
@@ -97,6 +99,7 @@ class Batch:
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.n:
+            self.clear()
             return
         ids = np.concatenate(self.ids)
         h, doc, flag = (np.concatenate(x) for x in (self.h, self.doc, self.flag))
@@ -124,7 +127,7 @@ class Batch:
         out = []
         for b in np.flatnonzero(np.diff(edges)).tolist():
             x, y = edges[b], edges[b + 1]
-            who = ids[first[x:y]] if self.exact else first[x:y].astype(np.uint16)
+            who = ids[first[x:y]] if self.exact else first[x:y]
             out.append((b % self.n_parts, b, batch, PROBE, pack(
                 *_pack_sorted(k_of[x:y]), who, np.packbits(marked[x:y]), np.packbits(many[x:y]))))
         home = batch % self.n_parts
@@ -132,7 +135,7 @@ class Batch:
         if len(local):
             out.append((home, -1, batch, LOCAL, pack(
                 b_of[local].astype(np.int32), k_of[local], size[local].astype(np.uint32),
-                doc[ragged(start[local], size[local])].astype(np.uint16))))
+                doc[ragged(start[local], size[local])])))
         out.append((home, -1, batch, DOCS, pack(ids)))
         for i in range(0, len(out), 64):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[i:i + 64]), ROW)], schema=ROW)
@@ -155,7 +158,7 @@ def _groups(batches, column: str):
 
 def _merge(rows, exact: bool, earlier: bool) -> Iterator[tuple[int, bytes]]:
     """One bucket: the answers to each batch, the keys that are shared."""
-    parts, who_kind = [], np.int64 if exact else np.uint16
+    parts, who_kind = [], np.int64 if exact else np.uint32
     for _, _, data in rows:
         f, a, w, who, marked, many = unpack(data, np.uint64, np.uint32, np.uint64, who_kind, np.uint8, np.uint8)
         key = _unpack_sorted(f, a, w)
@@ -191,14 +194,14 @@ def _by_document(rows, exact: bool, earlier: bool) -> Iterator[tuple[int, np.nda
     local: dict = {}
     for _, kind, p in rows:
         if kind == LOCAL:
-            b, k, size, doc = unpack(p, np.int32, np.uint64, np.uint32, np.uint16)
+            b, k, size, doc = unpack(p, np.int32, np.uint64, np.uint32, np.uint32)
             local = {"b": b, "k": k, "end": np.cumsum(size, dtype=np.int64), "size": size.astype(np.int64), "doc": doc}
     docs, found = [], []
     for bucket, kind, p in rows:
         if kind != PROBE:
             continue
         b = int(np.frombuffer(p[:8], np.int64)[0])
-        k, who, many, lowest = unpack(p[8:], np.uint64, np.int64 if exact else np.uint16, np.uint8, np.int64)
+        k, who, many, lowest = unpack(p[8:], np.uint64, np.int64 if exact else np.uint32, np.uint8, np.int64)
         many = np.unpackbits(many, count=len(k)).astype(bool)
         docs.append(who[~many] if exact else ids[who[~many]])
         found.append(_codes(b, k[~many], exact))

@@ -9,7 +9,9 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from scorebook.llm import collection, near_duplicates, substrings, suffixes  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from scorebook.llm import collection, meeting, near_duplicates, substrings, suffixes  # noqa: E402
 from scorebook.llm.graph import components  # noqa: E402
 
 SCHEMA = "doc_id bigint, text string"
@@ -174,3 +176,27 @@ def test_near_duplicates_by_blocks(spark, monkeypatch, block):
     want = brute.components(rows)
     got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(frame(spark, rows)).collect()}
     assert got == want and len(set(want.values())) < len(rows)
+
+
+@pytest.mark.parametrize("empty", [None, "", "too short"])
+def test_substrings_after_many_rows_without_windows(spark, empty):
+    passage = " ".join(f"w{i}" for i in range(20))
+    rows = [(70000, passage), (70001, f"more {passage}")]
+    none = spark.range(70000).select("id", F.lit(empty).cast("string")).toDF("doc_id", "text")
+    docs = none.union(spark.createDataFrame(rows, SCHEMA)).coalesce(1)
+    assert substrings.dedup_report(docs).where("n_removed > 0").select("doc_id", "n_removed").collect() == [(70001, 20)]
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_a_batch_of_many_documents(exact):
+    batch, ids = meeting.Batch(1, exact, False), np.arange(10**6, 10**6 + 69_999)
+    key = np.arange(len(ids), dtype=np.uint64) // np.uint64(2)  # two neighbours share one
+    assert not batch.add(ids[:59_999], np.arange(59_999), key[:59_999], None)
+    assert batch.add(ids[59_999:], np.arange(10_000), key[59_999:], None)
+    rows = [r for b in batch.rows() for r in b.to_pylist()]
+    answers = [(r["batch"], r["kind"], r["payload"]) for r in rows if r["bucket"] < 0]
+    for bucket in {r["bucket"] for r in rows} - {-1}:
+        head = np.array([bucket], np.int64).tobytes()
+        sent = [(r["batch"], r["kind"], r["payload"]) for r in rows if r["bucket"] == bucket]
+        answers += [(b, meeting.PROBE, head + p) for b, p in meeting._merge(sent, exact, False)]
+    assert [d for d, _ in meeting._by_document(answers, exact, False)] == ids[:-1].tolist()
