@@ -6,9 +6,16 @@ import html
 import re
 from dataclasses import dataclass
 
-#: Elements whose content is no text of the page, and comments.
-_UNSEEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|math|iframe|object|title|textarea|select)"
-                     r"\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
+#: Elements whose content is no text of the page. Those of RAW hold no tags and run to their end tag or the
+#: end of the page, as a template does; the others, left open, lose their own tag only. MathML's annotations are not shown.
+RAW = frozenset("script style textarea title iframe noscript".split())
+NESTED = frozenset("template svg object select annotation annotation-xml".split())
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in RAW}
+_UNSEEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)(script|style|textarea|title|iframe|noscript|template|svg|object|select"
+                     r"|annotation-xml|annotation)(?=[\s/>])((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*>|[^>]*(?:>|\Z))", re.S | re.I)
+#: Elements that end an svg they begin in, unless they are inside a foreignObject.
+_NO_SVG = re.compile(r"<(?:/p|/br|p|div|h[1-6]|ul|ol|dl|li|table|blockquote|pre|span|img|br|body|head)(?=[\s/>])"
+                     r"|(<foreignObject)(?=[\s/>])", re.I)
 #: A tag with well-formed quotes, any other tag, a declaration, or text.
 _TOKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*)>|</?[a-zA-Z][^>]*(?:>|$)|<[!?/][^>]*(?:>|$)"
                     r"|([^<]+|<)", re.S)
@@ -40,6 +47,51 @@ def _words(attributes: str) -> list[str]:
     return out
 
 
+def _seen(page: str) -> str:
+    """The page without comments and elements whose content is no text of it."""
+    cuts: list[tuple[int, int, bool]] = []  # start, end, svg
+    open_: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = {t: [] for t in NESTED}  # of the open elements of a kind
+    endless: set[str] = set()
+    at = 0
+    while m := _UNSEEN.search(page, at):
+        at = m.end()
+        if m[2] is None:
+            cuts.append((*m.span(), False))
+            continue
+        tag, empty = m[2].lower(), m[3].endswith("/>")
+        if tag in RAW:
+            foreign = bool(open_) and open_[-1][0] == "svg"
+            if m[1] or foreign and (empty or tag in endless):
+                continue
+            end = _RAW_END[tag].search(page, at)
+            if end:
+                at = end.end()
+            elif foreign:
+                endless.add(tag)
+                continue
+            else:
+                at = len(page)
+            cuts.append((m.start(), at, False))
+        elif not m[1]:
+            if not empty or tag in ("template", "object", "select"):  # the others are foreign elements
+                places[tag].append(len(open_))
+                open_.append((tag, m.start()))
+        elif places[tag] and places[tag][-1] >= max(places["template"][-1:], default=0):  # a template has a scope of its own
+            i = places[tag][-1]
+            cuts.append((open_[i][1], at, tag == "svg"))
+            while len(open_) > i:
+                places[open_.pop()[0]].pop()
+    cuts += [(open_[i][1], len(page), False) for i in places["template"][:1]]
+    out, at = [], 0
+    for start, end, svg in sorted(cuts):
+        if start >= at:
+            out.append(page[at:start])
+            ends = svg and _NO_SVG.search(page, start, end)
+            at = ends.start() if ends and not ends[1] else end
+    return "".join(out) + page[at:]
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's blocks in order. White space in a block is one space; a null page has none."""
     out: list[Block] = []
@@ -58,7 +110,7 @@ def blocks(page: str | None) -> list[Block]:
             parts.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(_UNSEEN.sub("", page)):
+    for m in _TOKEN.finditer(_seen(page)):
         text = m[4]
         if text is not None:
             parts.append(text)

@@ -259,6 +259,25 @@ def test_blocks_of_odd_markup():
     assert b("<p><a href=1>all</a> of")[0].linked == 3
 
 
+def test_blocks_around_unseen_elements():
+    texts = lambda s: [x.text for x in html_blocks.blocks(s)]
+    assert texts('<p>one <svg class="i"/> two</p><p>three</p>') == ["one two", "three"]
+    assert texts("<p>one<svg title='a/>b'><title>t</title><style/><text>x</text></svg> two<p>three") == ["one two", "three"]
+    for tag in ("title-bar", "object-view", "select-box", "template-part", "svg-icon", "script-note"):
+        assert texts(f"<p>a <{tag}>x</{tag}> b</p><p>c") == ["a x b", "c"]
+    for tag in ("object", "select", "svg", "math"):
+        assert texts(f"<p>a <{tag} class=i> b</p><p>c</p>") == ["a b", "c"]
+        assert texts(f"<p>a <{tag}> b</p><p>c</p><{tag}></{tag}><p>d") == ["a b", "c", "d"]
+    assert texts("<p>a <svg><path> </p><p>b</p></svg><p>c") == ["a", "b", "c"]
+    for tag in ("object", "select", "svg", "template"):
+        assert texts(f"<p>a<{tag}>x<{tag}>y</{tag}>z</{tag}> b<p>c") == ["a b", "c"]
+    for tag in ("script", "style", "textarea", "title", "iframe", "noscript", "template"):
+        assert texts(f"<p>a<{tag} x='>'>b</{tag} > c<p>d<{tag}>e<p>f") == ["a c", "d"]
+    assert texts("<p>a <math display=block><mi>x</mi><mo>=</mo><mn>2</mn></math> b<p>c <math/> d") == ["a x=2 b", "c d"]
+    assert texts("<p>a <math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math> b") == ["a x b"]
+    assert texts("<p>a<!--> b <!-- x --!> c<p>d<!-- e") == ["a b c", "d"]
+
+
 def test_labeller_gradients_and_context():
     net, rng = labeller.Labeller(5, 3), np.random.default_rng(0)
     net.p = [p.astype(float) for p in net.p]
