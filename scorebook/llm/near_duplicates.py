@@ -17,8 +17,7 @@ members of other components in its groups, whatever their number, but in blocks
 members inside tasks, on samples of the sets (a whole set up to 2 * SAMPLE shingles), once
 per pair; only what passes comes out and is confirmed. So no link that the bands find is
 lost. At a similarity of 0.75 the bands miss a pair with a chance of (1 - 0.75**3)**42 =
-1e-10, and the LAST_BANDS of them that the blocks use with one of 2e-5, for the few links
-that no pivot has found.
+1e-10.
 
 Null and empty texts have an empty set and are linked with nothing. Rows that share an id
 are judged by their own text; null ids take no part in links and are their own component
@@ -41,7 +40,7 @@ SHINGLE, PERCENT = 5, 75
 BUCKET_BITS, MANTISSA, ROWS = 7, 10, 3
 BUCKETS = 1 << BUCKET_BITS
 BANDS = BUCKETS // ROWS
-LAST_BANDS, BLOCK, SAMPLE = 20, 1024, 256
+BLOCK, SAMPLE = 1024, 256
 MARGIN, PIVOT_ROUNDS, PIVOTS = 6.0, 1, 3
 #: Fixed value: expected share of equal registers of unlike sets, times 2**mantissa bits.
 COLLISION = 0.169919487159739
@@ -164,9 +163,8 @@ def _block_pairs(groups: DataFrame, classes: DataFrame, sets: DataFrame, percent
     group's main component, that their samples allow. Each pair comes from the first band that it shares."""
     spark = groups.sparkSession
     n = partitions(spark)
-    rows = groups.where(F.shiftright("band", 48).bitwiseAND(F.lit(63)) < LAST_BANDS)
-    blocks = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = groups.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = groups.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.select("band", "node", "label", "main", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
 
     def shrink(batch):
@@ -202,7 +200,7 @@ def _compared(rows: list[dict], percent: int):
     band, two = (rows[0]["band"] >> 48) & 63, rows[0]["i"] != rows[0]["j"]
     node, label, own, level = (np.array([r[c] for r in rows], np.int64) for c in ("node", "label", "own", "level"))
     regs = np.frombuffer(b"".join(r["registers"] for r in rows), np.uint16).reshape(-1, BUCKETS)
-    keys = filled(regs)[:, :LAST_BANDS * ROWS].reshape(-1, LAST_BANDS, ROWS)
+    keys = filled(regs)[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS)
     parts = [np.frombuffer(r["sample"], np.uint64) for r in rows]
     flat = np.concatenate(parts)
     ids = np.unique(flat, return_inverse=True)[1]

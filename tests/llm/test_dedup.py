@@ -4,6 +4,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from scorebook.llm import collection, meeting, near_duplicates, substrings, suffixes  # noqa: E402
 from scorebook.llm.graph import components  # noqa: E402
+from scorebook.llm.words import Texts  # noqa: E402
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -200,3 +202,24 @@ def test_a_batch_of_many_documents(exact):
         sent = [(r["batch"], r["kind"], r["payload"]) for r in rows if r["bucket"] == bucket]
         answers += [(b, meeting.PROBE, head + p) for b, p in meeting._merge(sent, exact, False)]
     assert [d for d, _ in meeting._by_document(answers, exact, False)] == ids[:-1].tolist()
+
+
+def test_block_pairs_of_every_band(spark):
+    """Two members that share only one band, whichever it is, are compared there."""
+    nd = near_duplicates
+    words = lambda tag: nd.shingle_sets(Texts.of(pa.array([" ".join(f"{tag}{i}" for i in range(120))])))[0]
+    regs = nd.sketch([words("a"), words("b"), words("c")])
+    shingles = words("a").tobytes()
+    for band in (0, 19, 20, nd.BANDS - 1):
+        mine = nd.filled(regs).copy()
+        mine[1:, band * nd.ROWS:(band + 1) * nd.ROWS] = mine[0, band * nd.ROWS:(band + 1) * nd.ROWS]
+        rows = [{"band": band << 48, "i": 0, "j": 0, "own": 0, "node": k, "label": k, "main": 0, "level": 0,
+                 "registers": r.tobytes(), "sample": shingles} for k, r in enumerate(mine)]
+        got = [x for b in nd._compared(rows, 75) for x in zip(*b.to_pydict().values())]
+        assert {tuple(sorted(x)) for x in got} == {(0, 1), (0, 2), (1, 2)}
+    kinds = "band long, node long, label long, main long"
+    groups = spark.createDataFrame([(41 << 48, k, k, 0) for k in range(3)], kinds)
+    classes = spark.createDataFrame([(k, r.tobytes()) for k, r in enumerate(mine)], "node long, registers binary")
+    sets = spark.createDataFrame([(k, shingles) for k in range(3)], "node long, shingles binary")
+    got = nd._block_pairs(groups, classes, sets, 75).collect()
+    assert {tuple(sorted(x)) for x in got} == {(0, 1), (0, 2), (1, 2)}
