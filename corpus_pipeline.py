@@ -6,7 +6,7 @@ the next one's docs. All but the last return the columns of documents. A stage w
 all that the stage before kept:
 
 1. quality: documents that a quality rule rejects go.
-2. near_dedup: one document of each near-duplicate component stays, the smallest id.
+2. near_dedup: one row of each near-duplicate component stays, the smallest id (null ids last).
 3. substring_dedup: words inside windows that a document with a smaller id holds too go;
    a text that loses words becomes its kept words joined by one space, and n_chars follows.
    A document left without words goes.
@@ -14,8 +14,8 @@ all that the stage before kept:
 5. sentencepiece: doc_id, lang, source, text as encoded and decoded again, n_tokens and
    ids_sha256 of the piece ids.
 
-Null and empty texts have no words, so the first stage rejects them; null ids pass
-through. Empty tables stay empty.
+Null and empty texts have no words, so the first stage rejects them; rows with null ids
+take part in near_dedup and pass through the others. Empty tables stay empty.
 """
 
 from __future__ import annotations

@@ -308,11 +308,18 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs`, all columns as they are, that are the smallest id of their component. Of rows that share
-    an id, those whose text puts them in a component of a smaller id go."""
-    gone = free_name(docs, "gone_id")
-    found = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(found, docs["doc_id"] == found[gone], "left_anti")
+    """The rows of `docs`, all columns as they are, less all but one of each component: the row with the smallest id
+    stays, null ids last. Every row is a document of its own here, so rows that share an id or have none are judged by
+    their own text, and of repeated rows one stays. Texts without words are linked with nothing and stay."""
+    row = free_name(docs, "row_number")
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), size, percent)
+    ids = rows.select(F.col(row).alias("n"), F.col("doc_id").alias("own"))
+    found = stage(found.select(F.col("doc_id").alias("n"), "component_id").join(ids, "n"), "judged")
+    least = found.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull().alias("none"), "own", "n")).alias("kept"),
+                                              F.count(F.lit(1)).alias("k")).where("k > 1")
+    gone = found.join(least, "component_id").where(F.col("n") != F.col("kept.n")).select(F.col("n").alias(row))
+    return rows.join(gone, row, "left_anti").select(docs.columns)
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -223,3 +223,17 @@ def test_block_pairs_of_every_band(spark):
     sets = spark.createDataFrame([(k, shingles) for k in range(3)], "node long, shingles binary")
     got = nd._block_pairs(groups, classes, sets, 75).collect()
     assert {tuple(sorted(x)) for x in got} == {(0, 1), (0, 2), (1, 2)}
+
+
+def test_keep_one_of_each_with_shared_and_null_ids(spark):
+    text = lambda tag: " ".join(f"{tag}{i}" for i in range(60))
+    rows = [(3, text("a"), 1), (7, text("a") + " end", 2), (7, text("b"), 3), (7, text("c"), 4), (7, text("c"), 4),
+            (9, text("b") + " end", 5), (None, text("d"), 6), (None, text("d"), 6), (None, text("c"), 7),
+            (None, text("e"), 8), (None, text("f"), 9), (5, None, 10), (6, "", 11)]
+    df = frame(spark, rows, "doc_id bigint, text string, row_number int")
+    out = near_duplicates.keep_one_of_each(df)
+    assert out.columns == df.columns
+    assert sorted((tuple(r) for r in out.collect() if r.doc_id is not None), key=lambda r: (r[0], r[2])) == sorted(
+        [rows[i] for i in (0, 2, 3, 11, 12)], key=lambda r: (r[0], r[2]))
+    assert sorted(r.row_number for r in out.collect() if r.doc_id is None) == [6, 8, 9]
+    assert near_duplicates.keep_one_of_each(frame(spark, [], df.schema)).count() == 0
