@@ -74,7 +74,7 @@ def expand(formatted: DataFrame) -> DataFrame:
 
 
 def loss_text(text: Column | str = "text") -> Column:
-    """The text under an example's loss mask."""
+    """The text under an example's loss mask; `text` is the whole conversation, or context and target."""
     return F.substring(text, F.col("loss_start") + 1, F.col("loss_chars"))
 
 
@@ -102,14 +102,14 @@ def read_turns(text: Column) -> Column:
 
 def chat_report(rows: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read back from the formatted texts
-    and, for the loss, from the expanded examples."""
+    and, for the loss, from the expanded examples with their whole contexts."""
     formatted = format_conversations(rows)
     turns = F.element_at(F.transform(F.array(read_turns(F.col("text"))), lambda ts: F.struct(
         F.size(ts).cast("bigint").alias("n"),
         F.sha2(F.array_join(F.transform(ts, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""),
                256).alias("digest"))), 1)
     whole = formatted.select("conv_id", turns.alias("t"), F.char_length("text").cast("bigint").alias("formatted_chars"))
-    replies = expand(formatted).select("conv_id", "example", unescape(loss_text()).alias("reply"))
+    replies = examples(rows).select("conv_id", "example", unescape(loss_text(F.concat("context", "target"))).alias("reply"))
     loss = replies.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("example", "reply"))).alias("r"))
     loss = loss.select(F.col("conv_id").alias("id"), F.array_join("r.reply", "").alias("loss"))
     both = whole.join(loss, whole["conv_id"].eqNullSafe(loss["id"]), "left")

@@ -11,6 +11,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
@@ -199,6 +200,15 @@ def test_chat_reads_back_what_it_formatted(spark):
     assert chat.chat_report(frame(spark, [], schema)).count() == 0
 
 
+def test_chat_report_reads_contexts_of_examples(spark, monkeypatch):
+    rows = frame(spark, [(1, t, r, f"text {t}") for t, r in enumerate(["user", "assistant"] * 2)],
+                 "conv_id bigint, turn bigint, role string, text string")
+    right, whole = chat.chat_report(rows).first(), chat.examples
+    assert right.loss_sha256 == hashlib.sha256(b"text 1text 3").hexdigest()
+    monkeypatch.setattr(chat, "examples", lambda r: whole(r).withColumn("context", F.expr("substring(context, 2)")))
+    assert chat.chat_report(rows).first().loss_sha256 != right.loss_sha256  # a context cut short is seen
+
+
 def test_language_model_equals_brute_force(spark):
     rows = docs()[:80] + odd()
     got = defaultdict(list)
