@@ -8,11 +8,13 @@ from scorebook.llm import (
     near_duplicates,
     pieces,
     quality,
+    spelling,
     substrings,
     suffixes,
     token_counts,
 )
 
-MODULES = (quality, substrings, main_text, decontamination, near_duplicates, pieces, language_model, chat, suffixes, token_counts)
+MODULES = (quality, substrings, main_text, decontamination, near_duplicates, pieces, language_model, chat, suffixes,
+           token_counts, spelling)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}

@@ -30,7 +30,7 @@ from scorebook.llm.frames import keyed_texts, partitions, stage, table
 from scorebook.llm.words import LOWER, Texts, chunks, ragged
 
 MIN_LETTERS, MIN_COUNT, FORM_RATIO, EDIT_EVERY = 7, 2, 10, 31
-GROUPS, KEY_LEVELS, WORDS_PER_KEY = 14, (2, 6), 2_000
+GROUPS, KEY_LEVELS, WORDS_PER_KEY = 14, (2, 6), 10_000
 TOP = 63  # counts above it are one (a letter more or less then spends nothing)
 HELD_WORDS, BLOCK, PAIR_BYTES, LONG_RUN = 300_000, 4096, 1 << 24, 64
 
@@ -153,12 +153,29 @@ def letter_groups(words: DataFrame) -> np.ndarray:
     return out
 
 
-def _vectors(words: list[str], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def latin(t: Texts) -> Texts:
+    """Words (code points up to U+00FF) with a byte per code point."""
+    lead = t.buf == 0xC3
+    letters = np.where(t.buf >= 0x80, t.buf + np.uint8(0x40), t.buf)[~lead]
+    return Texts(letters, np.concatenate([[0], np.cumsum(~lead)])[t.offs])
+
+
+def as_strings(t: Texts) -> pa.Array:
+    """The inverse of `latin`."""
+    wide = t.buf >= 0x80
+    ends = np.cumsum(1 + wide)
+    out = np.repeat(t.buf, 1 + wide)
+    out[ends[wide] - 2] = 0xC3
+    out[ends[wide] - 1] -= np.uint8(0x40)
+    offs = np.concatenate([[0], ends])[t.offs].astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(t), [None, pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(out))])
+
+
+def _vectors(t: Texts, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts per group (at most TOP) and lengths of some words."""
-    lens = np.array([len(w) for w in words], np.int64)
-    letters = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
-    owner = np.repeat(np.arange(len(words)), lens)
-    counts = np.bincount(owner * GROUPS + group[letters], minlength=len(words) * GROUPS).reshape(-1, GROUPS)
+    lens = np.diff(t.offs)
+    owner = np.repeat(np.arange(len(t)), lens)
+    counts = np.bincount(owner * GROUPS + group[t.buf], minlength=len(t) * GROUPS).reshape(-1, GROUPS)
     return np.minimum(counts, TOP), lens
 
 
@@ -170,52 +187,48 @@ def _key(counts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 
 
 def key_rows(words: DataFrame, group: np.ndarray, levels: int) -> DataFrame:
-    """key, query, word, n: every word under its own key (query 0), and as a query (1) under each key that its budget
-    allows, if it is the one of a pair that asks there."""
+    """key, query, word (a byte per letter), n: every word under its own key (query 0), and as a query (1) under each
+    key that its budget allows, if it is the one of a pair that asks there."""
+    unit, none = np.eye(levels, dtype=np.int64), np.zeros(levels, np.int64)
+    moves = [(-down, -1) for down in (none, *unit)] + [
+        (up - down, 0) for i, up in enumerate((none, *unit)) for j, down in enumerate((none, *unit)) if i != j or not i]
 
     def run(batches):
         for batch in batches:
-            texts, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            counts, lens = _vectors(texts, group)
+            t, n = latin(Texts.of(batch.column(0))), batch.column(1).to_numpy()
+            counts, lens = _vectors(t, group)
             c = counts[:, :levels]
             own = _key(c, lens)
             at, keys = [np.arange(len(own))], [own]
-
-            def ask(move, length):
-                t = c + move
-                ok = ((t >= 0) & (t <= TOP)).all(1)
-                k = _key(np.clip(t, 0, TOP), lens + length)
-                if not length:
+            for move, longer in moves:
+                to = c + move
+                ok = ((to >= 0) & (to <= TOP)).all(1)
+                k = _key(np.clip(to, 0, TOP), lens + longer)
+                if not longer:
                     ok &= k >= own
                 at.append(np.flatnonzero(ok))
                 keys.append(k[ok])
-
-            unit = np.eye(levels, dtype=np.int64)
-            none = np.zeros(levels, np.int64)
-            for down in (none, *unit):
-                ask(-down, -1)
-                for up in (none, *unit):
-                    if down is none or up is none or (down != up).any():
-                        ask(up - down, 0)
-            first = len(own)
-            at, keys = np.concatenate(at), np.concatenate(keys)
+            first, at, keys = len(own), np.concatenate(at), np.concatenate(keys)
             for x in range(0, len(at), 10_000):
                 rows = at[x:x + 10_000]
+                some = t.take(rows)
+                data = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(some.offs.astype(np.int32)),
+                                                                     pa.py_buffer(np.ascontiguousarray(some.buf))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[x:x + 10_000]), pa.array((np.arange(x, x + len(rows)) >= first).astype(np.int32)),
-                     batch.column(0).take(pa.array(rows)), pa.array(n[rows])], names=["key", "query", "word", "n"])
+                    [pa.array(keys[x:x + 10_000]), pa.array((np.arange(x, x + len(rows)) >= first).astype(np.int32)), data,
+                     pa.array(n[rows])], names=["key", "query", "word", "n"])
 
-    return words.select("word", "n").mapInArrow(run, "key bigint, query int, word string, n bigint")
+    return words.select("word", "n").mapInArrow(run, "key bigint, query int, word binary, n bigint")
 
 
 class CountTrie:
     """The words of one key (all of one length) by their counts in the groups below the key's."""
 
-    def __init__(self, words: list[str], n: np.ndarray, group: np.ndarray, levels: int):
-        self.words, self.n = np.array(words, object), n
+    def __init__(self, words: Texts, n: np.ndarray, group: np.ndarray, levels: int):
+        self.words, self.n, self.group, self.levels = words, n, group, levels
         counts, lens = _vectors(words, group)
         self.head, rest, self.length = counts[0, :levels], counts[:, levels:], int(lens[0])
-        self.letters = np.frombuffer("".join(words).encode("latin-1"), np.uint8).reshape(len(words), self.length)
+        self.letters = words.buf.reshape(len(words), self.length)
         node, self.steps = np.zeros(len(words), np.int64), []
         for j in range(rest.shape[1]):  # a level's children, by (parent, count)
             keys, node = np.unique(node << 6 | rest[:, j], return_inverse=True)
@@ -223,20 +236,22 @@ class CountTrie:
         self.order = np.argsort(node, kind="stable")
         self.leaf = np.searchsorted(node[self.order], np.arange(len(self.steps[-1]) + 1))
 
-    def search(self, words: list[str], group: np.ndarray, levels: int):
-        """(query, word) numbers of the near pairs: depth first over blocks of open branches."""
-        counts, lens = _vectors(words, group)
-        head, rest = counts[:, :levels], counts[:, levels:]
+    def search(self, words: Texts):
+        """Number of the query, number of the word of the near pairs: depth first over blocks of open branches."""
+        counts, lens = _vectors(words, self.group)
+        head, rest = counts[:, :self.levels], counts[:, self.levels:]
         plus = 1 - np.maximum(self.head - head, 0).sum(1)
         minus = 1 - np.maximum(head - self.head, 0).sum(1)
         ok = np.flatnonzero((plus >= 0) & (minus >= 0))
-        letters = [np.frombuffer(w.encode("latin-1"), np.uint8) for w in words]
-        stack = [(0, ok[x:x + BLOCK], np.zeros(len(ok[x:x + BLOCK]), np.int64), plus[ok[x:x + BLOCK]], minus[ok[x:x + BLOCK]])
-                 for x in range(0, len(ok), BLOCK)]
+        letters = np.zeros((len(words), self.length + 1), np.uint8)
+        for size in (self.length, self.length + 1):
+            letters[lens == size, :size] = words.buf[words.offs[:-1][lens == size][:, None] + np.arange(size)]
+        both = (head == self.head).all(1) & (lens == self.length)  # then two words of a pair ask: the smaller is heard
+        stack = [(0, q, np.zeros(len(q), np.int64), plus[q], minus[q]) for q in (ok[x:x + BLOCK] for x in range(0, len(ok), BLOCK))]
         while stack:
             level, q, node, up, down = stack.pop()
             if level == len(self.steps):
-                yield from self._verified(q, node, letters, lens)
+                yield from self._verified(q, node, letters, lens > self.length, both)
                 continue
             have, keys = rest[q, level], self.steps[level]
             found = []
@@ -252,24 +267,23 @@ class CountTrie:
             for x in range(0, len(q), 4 * BLOCK):
                 stack.append((level + 1, *(v[x:x + 4 * BLOCK] for v in (q, node, up, down))))
 
-    def _verified(self, q, node, letters, lens):
+    def _verified(self, q, node, letters, longer, both):
         size = self.leaf[node + 1] - self.leaf[node]
         a, b = np.repeat(q, size), self.order[ragged(self.leaf[node], size)]
         step = max(1, PAIR_BYTES // (self.length + 1))
-        for longer in (False, True):
-            mine = (lens[a] > self.length) == longer
-            x, y = a[mine], b[mine]
-            for i in range(0, len(x), step):
-                u, v = x[i:i + step], y[i:i + step]
-                left = np.stack([letters[k] for k in u])
-                right = self.letters[v]
-                if longer:
-                    ahead = np.logical_and.accumulate(left[:, :-1] == right, axis=1).sum(1)
-                    behind = np.logical_and.accumulate((left[:, 1:] == right)[:, ::-1], axis=1).sum(1)
-                    near = ahead + behind >= self.length
-                else:
-                    near = (left != right).sum(1) == 1
-                yield u[near], v[near]
+        for i in range(0, len(a), step):
+            u, v = a[i:i + step], b[i:i + step]
+            left, right = letters[u], self.letters[v]
+            same = left[:, :-1] == right
+            near = ~longer[u] & (same.sum(1) == self.length - 1)
+            rows = np.flatnonzero(longer[u])
+            ahead = np.logical_and.accumulate(same[rows], axis=1).sum(1)
+            behind = np.logical_and.accumulate((left[rows, 1:] == right[rows])[:, ::-1], axis=1).sum(1)
+            near[rows] = ahead + behind >= self.length
+            u, v = u[near], v[near]
+            first = (letters[u][:, :-1] != self.letters[v]).argmax(1) if len(u) else u
+            once = ~both[u] | (letters[u, first] < self.letters[v, first])
+            yield u[once], v[once]
 
 
 def near_words(words: DataFrame, group: np.ndarray, levels: int) -> DataFrame:
@@ -277,42 +291,41 @@ def near_words(words: DataFrame, group: np.ndarray, levels: int) -> DataFrame:
     rows = key_rows(words, group, levels)
     dealt = rows.repartition(partitions(words.sparkSession), "key").sortWithinPartitions("key", "query")
 
-    def flush(trie, texts, n):
-        own = _key(trie.head[None, :], np.array([trie.length]))[0]
-        for q, w in trie.search(texts, group, levels):
-            # at equal length and key both words ask: keep the answer to the smaller
-            counts, lens = _vectors([texts[i] for i in q], group) if len(q) else (np.zeros((0, GROUPS), np.int64), np.zeros(0, np.int64))
-            twice = (_key(counts[:, :levels], lens) == own) if len(q) else np.zeros(0, bool)
-            keep = [i for i in range(len(q)) if not twice[i] or texts[q[i]] < trie.words[w[i]]]
-            if keep:
-                a, b = [texts[q[i]] for i in keep], [trie.words[w[i]] for i in keep]
-                na, nb = n[q[keep]], trie.n[w[keep]]
-                yield pa.RecordBatch.from_arrays([pa.array(a + b, pa.string()), pa.array(b + a, pa.string()),
-                                                  pa.array(np.concatenate([nb, na]))], names=["word", "near", "near_n"])
+    def joined(parts):
+        lens = np.concatenate([np.diff(t.offs) for t, _ in parts])
+        return (Texts(np.concatenate([t.buf for t, _ in parts]), np.concatenate([[0], np.cumsum(lens)])),
+                np.concatenate([n for _, n in parts]))
+
+    def found(trie, asks):
+        t, n = joined(asks)
+        for q, w in trie.search(t):
+            for i in range(0, len(q), 10_000):
+                a, b = q[i:i + 10_000], w[i:i + 10_000]
+                x, y = as_strings(t.take(a)), as_strings(trie.words.take(b))
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]), pa.concat_arrays([y, x]),
+                                                  pa.array(np.concatenate([trie.n[b], n[a]]))], names=["word", "near", "near_n"])
 
     def run(batches):
-        trie, now, stored, texts, n = None, None, ([], []), [], []
+        now, trie, stored, asks = None, None, [], []
         for batch in batches:
-            key, asks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            word, count = batch.column(2).to_pylist(), batch.column(3).to_numpy()
-            cut = np.flatnonzero(np.diff(key) | np.diff(asks)) + 1
+            key, query, n = (batch.column(i).to_numpy() for i in (0, 1, 3))
+            t = Texts.of(batch.column(2))
+            cut = (np.flatnonzero(np.diff(key) | np.diff(query)) + 1).tolist()
             for a, b in zip([0, *cut], [*cut, len(key)]):
                 if key[a] != now:
-                    if trie is not None and texts:
-                        yield from flush(trie, texts, np.array(n, np.int64))
-                    trie, now, stored, texts, n = None, key[a], ([], []), [], []
-                if not asks[a]:
-                    stored[0].extend(word[a:b])
-                    stored[1].extend(count[a:b])
-                elif stored[0]:
-                    trie = trie or CountTrie(stored[0], np.array(stored[1], np.int64), group, levels)
-                    texts += word[a:b]
-                    n.extend(count[a:b])
-                    if len(texts) >= 4 * BLOCK:
-                        yield from flush(trie, texts, np.array(n, np.int64))
-                        texts, n = [], []
-        if trie is not None and texts:
-            yield from flush(trie, texts, np.array(n, np.int64))
+                    if asks:
+                        yield from found(trie, asks)
+                    now, trie, stored, asks = key[a], None, [], []
+                if not query[a]:
+                    stored.append((t.slice(a, b), n[a:b]))
+                elif stored:
+                    trie = trie or CountTrie(*joined(stored), group, levels)
+                    asks.append((t.slice(a, b), n[a:b]))
+                    if sum(len(x) for x, _ in asks) >= 4 * BLOCK:
+                        yield from found(trie, asks)
+                        asks = []
+        if asks:
+            yield from found(trie, asks)
 
     return dealt.mapInArrow(run, "word string, near string, near_n bigint")
 
