@@ -12,9 +12,10 @@ from scorebook.llm import (
     substrings,
     suffixes,
     token_counts,
+    whitening,
 )
 
 MODULES = (quality, substrings, main_text, decontamination, near_duplicates, pieces, language_model, chat, suffixes,
-           token_counts, spelling)
+           token_counts, spelling, whitening)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
