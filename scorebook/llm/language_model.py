@@ -177,7 +177,7 @@ def train(texts: DataFrame) -> dict:
             if (u == START).any():  # the start is never predicted; its count as a context is the number of texts
                 stats[0][u == START] = add(h, c)[u == START]
             seen.append((u, stats))
-            yield from sent_rows([(-1, 1, b"", _tally(c), int(c.sum()), len(c))])
+            yield from sent_rows([(b, 1, b"", _tally(c), int(c.sum()), len(c))])
         if seen:  # the words of all buckets of this task at once
             u, back = np.unique(np.concatenate([x for x, _ in seen]), return_inverse=True)
             stats = [np.bincount(back, np.concatenate([x[i] for _, x in seen]), len(u)).astype(np.int64) for i in range(5)]
@@ -202,21 +202,22 @@ def train(texts: DataFrame) -> dict:
             write_arrays(folder + "/words", f"{b:06d}",
                          {"key": u, **{k: x.astype(t) for k, x, t in zip(STATS, cols, kinds)}})
             a = cols[1][cols[1] > 0]
-            yield pa.RecordBatch.from_arrays([pa.array([_tally(a)], pa.list_(pa.int64())), pa.array([len(a)], pa.int64()),
-                                              pa.array([int(a.sum())], pa.int64())], names=["tally", "types", "total"])
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_tally(a)], pa.list_(pa.int64())),
+                                              pa.array([len(a)], pa.int64()), pa.array([int(a.sum())], pa.int64())],
+                                             names=["bucket", "tally", "types", "total"])
 
     one = _sums(words.where("kind = 1"))
     two = _sums(_dealt(words.where("kind = 0").select("bucket", "payload"), n)
-                .mapInArrow(add_words, "tally array<bigint>, types bigint, total bigint"))
-    return {"folder": folder, "buckets": {"bigrams": buckets, "words": n}, "tokens": one["total"], "words": two["types"], "pairs": two["total"],
+                .mapInArrow(add_words, "bucket int, tally array<bigint>, types bigint, total bigint"))
+    return {"folder": folder, "buckets": {"bigrams": buckets, "words": n}, "files": {"bigrams": one["files"], "words": two["files"]}, "tokens": one["total"], "words": two["types"], "pairs": two["total"],
             "bigram_discounts": discounts(one["tally"]), "word_discounts": discounts(two["tally"]), "word_tally": two["tally"]}
 
 
 def _sums(rows: DataFrame) -> dict:
-    """Totals of (tally, types, total) rows, added up in Spark."""
-    got = rows.agg(F.sum("types").alias("types"), F.sum("total").alias("total"),
+    """Totals of (bucket, tally, types, total) rows, added up in Spark, and the buckets that have a file."""
+    got = rows.agg(F.collect_set("bucket").alias("files"), F.sum("types").alias("types"), F.sum("total").alias("total"),
                    *[F.sum(F.col("tally")[i]).alias(f"t{i}") for i in range(5)]).first()
-    return {"types": got["types"] or 0, "total": got["total"] or 0, "tally": [got[f"t{i}"] or 0 for i in range(5)]}
+    return {"files": set(got["files"]), "types": got["types"] or 0, "total": got["total"] or 0, "tally": [got[f"t{i}"] or 0 for i in range(5)]}
 
 
 def discounts(tally: list[int]) -> list[float]:
@@ -244,9 +245,9 @@ class Lookup:
         """Values of distinct keys, 0 where there are none; `place` (ascending) tells the bucket."""
         out = [np.zeros(len(keys), np.float64) for _ in names]
         for b, x, y in _cut(bucket_of(place, self.m["buckets"][kind]), self.m["buckets"][kind]):
-            f = self._file(kind, b)
-            if f is None:
+            if b not in self.m["files"][kind]:  # no key was counted there; a file that should be there and is not raises
                 continue
+            f = self._file(kind, b)
             i = np.minimum(np.searchsorted(f["key"], keys[x:y]), len(f["key"]) - 1)
             hit = f["key"][i] == keys[x:y]
             for o, name in zip(out, names):

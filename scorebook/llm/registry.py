@@ -3,6 +3,7 @@
 from scorebook.llm import (
     chat,
     decontamination,
+    embedding_links,
     language_model,
     main_text,
     near_duplicates,
@@ -16,6 +17,6 @@ from scorebook.llm import (
 )
 
 MODULES = (quality, substrings, main_text, decontamination, near_duplicates, pieces, language_model, chat, suffixes,
-           token_counts, spelling, whitening)
+           token_counts, spelling, whitening, embedding_links)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}

@@ -35,12 +35,11 @@ def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
 
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
-        with store.open_output_stream(f"{base}/.{name}-{uuid.uuid4().hex}") as f:
+        own = f"{base}/.{name}-{uuid.uuid4().hex}"
+        with store.open_output_stream(own) as f:
             for d in data:
                 f.write(d)
-            own = f.name if hasattr(f, "name") else None
-        if own:
-            store.move(own, f"{base}/{name}")
+        store.move(own, f"{base}/{name}")
         return
     os.makedirs(path, exist_ok=True)
     own = f"{path}/.{name}-{uuid.uuid4().hex}"
@@ -49,26 +48,21 @@ def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     os.replace(own, f"{path}/{name}")
 
 
-def map_arrays(folder: str, name: str) -> dict[str, np.ndarray] | None:
-    """The arrays of a file, mapped read-only; None if there is no such file (an empty bucket)."""
+def map_arrays(folder: str, name: str) -> dict[str, np.ndarray]:
+    """The arrays of a file, mapped read-only. A file that is not there raises: callers know which were written."""
     path = _local(folder)
     if path is None:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(folder)
-        if store.get_file_info(f"{base}/{name}").type == fs.FileType.NotFound:
-            return None
         with tempfile.NamedTemporaryFile() as copy, store.open_input_stream(f"{base}/{name}") as f:
             while part := f.read(1 << 22):
                 copy.write(part)
             copy.flush()
             held = mmap.mmap(copy.fileno(), 0, access=mmap.ACCESS_READ)
     else:
-        try:
-            with open(f"{path}/{name}", "rb") as f:
-                held = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        except FileNotFoundError:
-            return None
+        with open(f"{path}/{name}", "rb") as f:
+            held = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
     size = int.from_bytes(held[:8], "little")
     out, at = {}, 8 + size
     for k, kind, n in json.loads(held[8:8 + size]):
