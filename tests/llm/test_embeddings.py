@@ -1,11 +1,13 @@
 """Near duplicates among embeddings against brute force."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
 
-from scorebook.llm import embedding_links, shared_files
+from scorebook.llm import embedding_links, language_model, shared_files
 from scorebook.llm.small_world import SmallWorld
 
 SCHEMA = "vec_id bigint, embedding array<float>, digest string"
@@ -111,3 +113,22 @@ def test_files_of_a_remote_store(tmp_path, monkeypatch):
     shared_files.write_arrays(folder, "a", {"x": np.arange(5), "y": np.ones(3)})
     assert [p.name for p in (tmp_path / "graphs").iterdir()] == ["a"]
     assert shared_files.map_arrays(folder, "a")["x"].tolist() == list(range(5))
+    with pytest.raises(FileNotFoundError):
+        shared_files.map_arrays(folder, "b")
+    monkeypatch.undo()
+    assert shared_files.map_arrays(folder, "a")["y"].tolist() == [1, 1, 1]
+    with pytest.raises(FileNotFoundError):
+        shared_files.map_arrays(folder, "b")
+
+
+def test_a_lost_model_file_raises(spark, tmp_path):
+    words = "one two three four five six".split()
+    rows = [(i, " ".join(words[(i * j) % 6] for j in range(20))) for i in range(40)]
+    model = language_model.train(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    kind, bucket = "bigrams", min(model["files"]["bigrams"])
+    path = Path(shared_files._local(model["folder"])) / kind / f"{bucket:06d}"
+    look = language_model.Lookup(model)
+    assert look._file(kind, bucket) is not None
+    path.rename(tmp_path / "lost")
+    with pytest.raises(FileNotFoundError):
+        language_model.Lookup(model)._file(kind, bucket)
