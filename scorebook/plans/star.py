@@ -23,7 +23,7 @@ from scorebook.operators.extract import (attach_events, extract_deliveries, extr
 from scorebook.operators.resolve import (name_override, person_dimension, person_names, resolve_roles,
                                          resolve_roles_by_map)
 from scorebook.operators.sequence import (attach_positions, first_appearance_order, running_total,
-                                          sequential_id)
+                                          running_total_with_ids, sequential_id, stage)
 from scorebook.plans.dataset import build_dataset
 from scorebook.plans.search import competition_search, event_rows, register
 from scorebook.schemas import DOCUMENT_DDL, INFO_DDL
@@ -84,7 +84,7 @@ def star_leagues(spark, d) -> DataFrame:
         F.col("r_regionkey").alias("league_tier"))
 
 
-SQL_NAMES = """
+SQL_PEOPLE = """
 people AS (
   SELECT CASE WHEN s_nationkey = 3 THEN 'x' ELSE '' END || 'S' || CAST(s_suppkey AS VARCHAR) AS person_id,
          CAST(s_nationkey AS VARCHAR) AS key_cricinfo,
@@ -101,9 +101,10 @@ people AS (
 ci AS (SELECT CASE WHEN n_regionkey = 1 THEN 'x' ELSE '' END || CAST(n_nationkey AS VARCHAR) AS key_cricinfo,
               'Full ' || n_name AS person_name_espn
        FROM nation),
-pdim AS MATERIALIZED (SELECT p.person_id, p.key_cricinfo, COALESCE(ci.person_name_espn, p.person_name) AS person_name,
+pdim AS (SELECT p.person_id, p.key_cricinfo, COALESCE(ci.person_name_espn, p.person_name) AS person_name,
                 p.person_unique_name
-         FROM people p LEFT JOIN ci ON p.key_cricinfo = ci.key_cricinfo),
+         FROM people p LEFT JOIN ci ON p.key_cricinfo = ci.key_cricinfo)"""
+SQL_NAMES = SQL_PEOPLE + """,
 names AS MATERIALIZED (SELECT DISTINCT r.match_id, COALESCE(pd.person_name, r.person_name) AS person_name, r.person_id,
                  pd.person_unique_name
           FROM registry r LEFT JOIN pdim pd ON r.person_id = pd.person_id)"""
@@ -168,7 +169,7 @@ FROM (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
 def q_running_count(spark, d):
     ev = t(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
     out = running_total(ev, ["user_id"], ["ts", "event_id"],
-                        F.when(F.col("event_type") == "error", 1).otherwise(0), "errors_so_far")
+                        F.when(F.col("event_type") == "error", 1).otherwise(0), "errors_so_far", stored=True)
     return out.select("event_id", "user_id", "event_type", "errors_so_far")
 
 
@@ -232,7 +233,7 @@ LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
 
 
 def q_sequential_id(spark, d):
-    out = sequential_id(t(spark, d, "lineitem"), LI_COLS, "line_id")
+    out = sequential_id(t(spark, d, "lineitem"), LI_COLS, "line_id", stored=True)
     return out.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
@@ -245,8 +246,6 @@ FROM lineitem"""
 # C4 + C5 in one pass, shaped like the dataset: lines grouped by order, global order by
 # order date first, so the group does not lead the sort key
 def q_running_ids(spark, d):
-    from scorebook.operators.sequence import running_total_with_ids
-
     li = t(spark, d, "lineitem")
     o = t(spark, d, "orders").select("o_orderkey", "o_orderdate")
     x = li.join(o, li["l_orderkey"] == o["o_orderkey"]).drop("o_orderkey")
@@ -270,7 +269,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 def q_running_nulls(spark, d):
     ev = t(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
     out = running_total(ev, ["user_id"], ["ts", "event_id"],
-                        F.when(F.col("event_type") == "error", F.col("event_id") % 7), "error_sum")
+                        F.when(F.col("event_type") == "error", F.col("event_id") % 7), "error_sum", stored=True)
     return out.select("event_id", "user_id", "error_sum")
 
 
@@ -283,11 +282,9 @@ FROM events"""
 
 
 def q_running_scattered(spark, d):
-    from scorebook.operators.sequence import running_total_with_ids
-
     ev = t(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
     out = running_total_with_ids(ev, ["event_type"], ["ts", "event_id"], F.when(F.col("user_id") % 3 != 0, F.col("user_id")),
-                                 "user_sum", "position")
+                                 "user_sum", "position", stored=True)
     return out.select("event_id", "event_type", "user_sum", "position")
 
 
@@ -318,16 +315,18 @@ def q_role_map_lookup(spark, d):
     return resolve_roles_by_map(_role_fact(spark, d), star_names(spark, d), ["batter", "bowler"]).select(*ROLE_OUT)
 
 
+# the registry is made of these very lines, so a line's own supplier and part are always in it, once: a role is
+# resolved if the person dimension knows its id
 ORACLE["resolve_roles"] = f"""
-WITH {SQL_REGISTRY}, {SQL_NAMES},
-fact AS (SELECT CAST(l_orderkey AS VARCHAR) AS match_id, l_linenumber, 'S' || CAST(l_suppkey AS VARCHAR) AS batter,
-                'P' || CAST(l_partkey AS VARCHAR) AS bowler FROM lineitem)
-SELECT f.match_id, f.l_linenumber,
-  COALESCE(nb.person_name, f.batter) AS batter, nb.person_id AS batter_id, nb.person_name IS NULL AS missing_batter_name,
-  COALESCE(nw.person_name, f.bowler) AS bowler, nw.person_id AS bowler_id, nw.person_name IS NULL AS missing_bowler_name
-FROM fact f
-LEFT JOIN names nb ON nb.person_unique_name = f.batter AND nb.match_id = f.match_id
-LEFT JOIN names nw ON nw.person_unique_name = f.bowler AND nw.match_id = f.match_id"""
+WITH {SQL_PEOPLE}
+SELECT CAST(l.l_orderkey AS VARCHAR) AS match_id, l.l_linenumber,
+  COALESCE(b.person_name, 'S' || CAST(l.l_suppkey AS VARCHAR)) AS batter, b.person_id AS batter_id,
+  b.person_name IS NULL AS missing_batter_name,
+  COALESCE(w.person_name, 'P' || CAST(l.l_partkey AS VARCHAR)) AS bowler, w.person_id AS bowler_id,
+  w.person_name IS NULL AS missing_bowler_name
+FROM lineitem l
+LEFT JOIN pdim b ON b.person_id = 'S' || CAST(l.l_suppkey AS VARCHAR)
+LEFT JOIN pdim w ON w.person_id = 'P' || CAST(l.l_partkey AS VARCHAR)"""
 ORACLE["role_map_lookup"] = ORACLE["resolve_roles"]
 
 
@@ -656,7 +655,8 @@ def q_doc_deliveries(spark, d):
 
 # match info and registry of damaged documents: a bad ball, margin or date does not remove them
 def q_doc_match_info(spark, d):
-    docs = readable_documents(order_docs_parsed(spark, d, damaged=True, ddl=INFO_DDL))
+    # parsed once for both sides of the event join
+    docs = stage(readable_documents(order_docs_parsed(spark, d, damaged=True, ddl=INFO_DDL)).select("match_id", "doc"), "docs")
     event = docs.select("match_id", F.col("doc.info.event.name").alias("event"))  # E15 from the document
     return attach_events(extract_match_info(docs), event)
 
@@ -821,8 +821,6 @@ ORACLE["normalised_columns"] = "SELECT c_custkey AS cust_key, c_name AS cust_nam
 
 # C9 flagship: documents -> three tables -> wide dataset
 def q_wide_dataset(spark, d):
-    from scorebook.operators.sequence import stage
-
     docs = stage(valid_documents(order_docs_parsed(spark, d), "deliveries").select("match_id", "doc"), "docs")
     deliveries = extract_deliveries(docs)
     events = docs.select("match_id", F.col("doc.info.event.name").alias("event"))
