@@ -26,10 +26,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from scorebook.llm.frames import free_name, keyed_texts, packed_texts, partitions, per_batch, table
+from scorebook.llm.frames import keyed_texts, packed_texts, partitions, per_batch, table
 from scorebook.llm.meeting import key_set, member, own_codes, shared_keys
-from scorebook.llm.words import Texts, chunks, doc_of, packed_chunks, windows
+from scorebook.llm.words import Texts, chunks, doc_of, pack_texts, packed_chunks, windows
 
 WINDOW = 13
 
@@ -55,7 +56,8 @@ def _near(hit: np.ndarray, pos: np.ndarray, block: int, window: int) -> np.ndarr
 
 def removed_words(docs: DataFrame, packed: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, keys: the fingerprints of each document's windows that a smaller id holds too. `docs` as from
-    `_texts`, and `packed` its packed_texts."""
+    `_texts`, and `packed` the same texts compressed (doc_id, text and any others, all of which go into the join: the
+    caller's own join of them can then use the same exchange)."""
     block = (window + 1) // 2
     n = partitions(docs.sparkSession)
 
@@ -71,7 +73,8 @@ def removed_words(docs: DataFrame, packed: DataFrame, window: int = WINDOW) -> D
             yield ids[a:b], doc, g, (pos - w[doc]) % block == 0
 
     anchors = shared_keys(docs, probes, exact=False)
-    candidates = packed.join(anchors, "doc_id").select("doc_id", "text", "keys")
+    others = [c for c in packed.columns if c not in ("doc_id", "text")]
+    candidates = packed.join(anchors, "doc_id").select("doc_id", "text", "keys", *others)
 
     def candidate_windows(batch):
         ids = _ids(batch)
@@ -148,33 +151,39 @@ def _digest(t, s, e, gone, x, y, i) -> str:
 def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with all its columns and rows; texts that lose words become their kept words joined by one space
     (possibly empty), all others stay as they are, null included."""
-    texts = _texts(docs, id_col, text_col)
-    own, mine = free_name(docs, "gone_id"), free_name(docs, "gone_keys")
-    gone = removed_words(texts, packed_texts(texts), window).select(F.col("doc_id").alias(own), F.col("keys").alias(mine))
-    both = docs.join(gone, docs[id_col].cast("bigint") == gone[own], "left")
-    names, at = docs.columns, docs.columns.index(text_col)
+    names = docs.columns
+    rest = [c for c in names if c != text_col]
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       *[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)])
+
+    def pack(batches):
+        for batch in batches:
+            known = pc.is_valid(batch.column(1)).to_pylist()
+            for a, b, t in chunks(batch):
+                texts = pa.array([x if k else None for x, k in zip(pack_texts(t), known[a:b])], pa.binary())
+                yield pa.RecordBatch.from_arrays([texts if i == 1 else batch.column(i).slice(a, b - a) for i in range(len(names) + 1)],
+                                                 names=batch.schema.names)
+
+    kinds = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == "text" else f.dataType) for f in rows.schema.fields])
+    packed = rows.mapInArrow(pack, kinds).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    gone = removed_words(_texts(docs, id_col, text_col), packed, window)
+    both = packed.join(gone, "doc_id", "left").select("text", "keys", *[f"c{i}" for i in range(len(rest))])
 
     def run(batches):
         for batch in batches:
-            keys = batch.column(len(names))
-            if keys.null_count < len(keys):
-                texts = batch.column(at)
-                out = texts.to_pylist()
-                rows = np.flatnonzero(pc.is_valid(keys).to_numpy(zero_copy_only=False))
-                part = pa.RecordBatch.from_arrays([texts.take(pa.array(rows))], ["text"])
-                picked = keys.take(pa.array(rows)).to_pylist()
-                for a, b, t in chunks(part):
-                    lost, w = covered(t, picked[a:b], window)
+            for a, b, t in packed_chunks(batch.column(0)):
+                keys, known = batch.column(1).slice(a, b - a).to_pylist(), pc.is_valid(batch.column(0).slice(a, b - a)).to_pylist()
+                out = [t.bytes_of(i).decode() if known[i] else None for i in range(b - a)]
+                if any(keys):
+                    lost, w = covered(t, keys, window)
                     s, e, _ = t.spans()
                     for i in range(b - a):
                         if lost[w[i]:w[i + 1]].any():
-                            out[rows[a + i]] = kept_text(t, s, e, lost, w[i], w[i + 1], i).decode()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out, texts.type) if j == at else batch.column(j) for j in range(len(names))], names=names)
-            else:
-                yield pa.RecordBatch.from_arrays([batch.column(j) for j in range(len(names))], names=names)
+                            out[i] = kept_text(t, s, e, lost, w[i], w[i + 1], i).decode()
+                cols = {c: batch.column(2 + i).slice(a, b - a) for i, c in enumerate(rest)}
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == text_col else cols[c] for c in names], names=names)
 
-    return both.select(*[docs[c] for c in names], mine).mapInArrow(run, docs.schema)
+    return both.mapInArrow(run, docs.schema)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
