@@ -27,7 +27,8 @@ from scorebook.operators.sequence import (attach_positions, first_appearance_ord
 from scorebook.plans.dataset import build_dataset
 from scorebook.plans.search import competition_search, event_rows, register
 from scorebook.schemas import DOCUMENT_DDL, INFO_DDL
-from scorebook.sources.documents import json_text, key_from_path, parse_documents
+from scorebook.session import default_partitions
+from scorebook.sources.documents import json_text, key_from_path, parse_documents, yaml_to_json
 from scorebook.sources.tables import sql_parquet
 
 _view_ids = itertools.count()
@@ -653,6 +654,23 @@ def q_doc_deliveries(spark, d):
     return extract_deliveries(valid_documents(order_docs_parsed(spark, d), "deliveries"))
 
 
+def order_yaml(spark, d) -> DataFrame:
+    """(match_id, path, content): the documents as YAML text as it is landed: plain dates, `yes`, numbers as ball keys."""
+    raw = order_documents(spark, d)
+    part = lambda name: F.get_json_object("doc_json", f"$.{name}")
+    info = F.regexp_replace(part("info"), r'"(\d{4}-\d{2}-\d{2})"', "$1")
+    innings = F.regexp_replace(F.regexp_replace(part("innings"), r'"(\d+\.\d+)":', "$1: "), '"declared":"yes"', "declared: yes")
+    text = F.concat(F.lit("# one match\n---\ninfo: "), info, F.lit("\ninnings: "), innings, F.lit("\n"))
+    path = F.regexp_replace("path", "json$", "yaml").alias("path")
+    return raw.select(path, text.cast("binary").alias("content")).withColumn("match_id", key_from_path("path"))
+
+
+def q_yaml_deliveries(spark, d):
+    """S1 (YAML), then E1-E7: stored after the parse, which is Python, so that no filter or projection repeats it."""
+    docs = stage(yaml_to_json(order_yaml(spark, d), default_partitions(spark)), "yaml")  # else coalesced to few tasks by size
+    return extract_deliveries(valid_documents(parse_documents(docs), "deliveries"))
+
+
 # match info and registry of damaged documents: a bad ball, margin or date does not remove them
 def q_doc_match_info(spark, d):
     # parsed once for both sides of the event join
@@ -710,6 +728,7 @@ DELIVERY_OUT = ["match_id", "innings", "batting_team", "bowling_team", "declared
                 "innings_seq", "ball_seq"]
 
 ORACLE["doc_deliveries"] = f"WITH {SQL_DELIVERIES} SELECT {', '.join(DELIVERY_OUT)} FROM dl"
+ORACLE["yaml_deliveries"] = ORACLE["doc_deliveries"]
 
 SQL_MATCH_INFO = f"""
 ag AS (SELECT l_orderkey, min(CAST(l_shipdate AS DATE)) AS d1, max(CAST(l_shipdate AS DATE)) AS d2,
@@ -922,6 +941,7 @@ QUERIES = {
     "delta_count": q_delta_count,
     "merge_append": q_merge_append,
     "doc_deliveries": q_doc_deliveries,
+    "yaml_deliveries": q_yaml_deliveries,
     "doc_quarantine": q_doc_quarantine,
     "doc_match_info": q_doc_match_info,
     "doc_registry": q_doc_registry,
