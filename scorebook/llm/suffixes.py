@@ -17,7 +17,8 @@ fingerprinted one by one instead and meet in packed form (scorebook.llm.meeting)
 is exact up to 64-bit fingerprints and has no hot task.
 
 Null and empty texts have no bytes. Repeated rows repeat each other, ids null or repeated
-included: rows are told apart by doc_id and text. Texts beyond SEGMENT bytes are worked
+included: rows are told apart by doc_id and text, and rows alike in both are worked on as one, at a cost that grows with
+their number. Texts beyond SEGMENT bytes are worked
 on in overlapping segments.
 """
 
@@ -109,7 +110,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(rows: DataFrame, packed: DataFrame, length: int = LENGTH, gram: int = GRAM,
                    group: int = GROUP) -> DataFrame:
-    """id, key, spans (array of first byte and size, overlapping and unordered) of the rows (id, key, text); `packed`
+    """id, key, spans (array of first byte and size, each once, overlapping and unordered) of the rows (id, key, text); `packed`
     is their packed_texts."""
     n = partitions(rows.sparkSession)
 
@@ -187,7 +188,8 @@ def repeated_spans(rows: DataFrame, packed: DataFrame, length: int = LENGTH, gra
     many = per_batch_spans(crowded.where("n = 1").join(shared, "doc_id").select("id", "key", "part", "start", "keys"),
                            locate)
     found = whole.union(few.union(many).select("id", "key", F.explode("spans").alias("span")))
-    return found.groupBy("id", "key").agg(F.collect_list("span").alias("spans"))
+    # a set: repeated rows bring the same spans, which meet here once each
+    return found.groupBy("id", "key").agg(F.collect_set("span").alias("spans"))
 
 
 def per_batch_spans(df: DataFrame, fn) -> DataFrame:

@@ -136,6 +136,20 @@ def test_suffixes_null_ids_and_long_segments(spark, monkeypatch):
     assert suffixes.suffix_report(frame(spark, [])).count() == 0
 
 
+def test_suffixes_of_many_equal_rows(spark):
+    """The spans of a row do not grow with the number of rows like it, so the work grows with that number only."""
+    rng = random.Random(4)
+    a, b = ("".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(2))
+    sizes = []
+    for n in (20, 80):
+        rows = [(None, a)] * n + [(3, a)] * n + [(4, b[:600] + a[100:300] + b[600:])]
+        both = suffixes.with_spans(frame(spark, rows), length=48, gram=16).collect()
+        sizes.append(max(len(r.spans) for r in both if r.spans))
+        out = suffixes.suffix_report(frame(spark, rows), length=48, gram=16).collect()
+        assert sorted((r.doc_id or 0, r.n_removed) for r in out) == [(0, 2000)] * n + [(3, 2000)] * n + [(4, 200)]
+    assert sizes[0] == sizes[1]
+
+
 def test_collection_order_and_common_prefixes():
     rng = random.Random(1)
     for _ in range(150):
