@@ -104,7 +104,7 @@ def blocks(page: str | None) -> list[Block]:
     def flush():
         nonlocal linked
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 out.append(Block(text, tuple(w for tag, names in stack for w in (tag, *names)), min(linked, len(text))))
             parts.clear()
@@ -113,7 +113,7 @@ def blocks(page: str | None) -> list[Block]:
     for m in _TOKEN.finditer(_seen(page)):
         text = m[4]
         if text is not None:
-            parts.append(text)
+            parts.append(html.unescape(text))  # by run: a reference does not reach over a tag
             if links:
                 linked += len(text)
             continue

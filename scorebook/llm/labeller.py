@@ -91,12 +91,13 @@ class Labeller:
 
     def fit(self, xs: list[np.ndarray], ys: list[np.ndarray], epochs: int = 8, batch: int = 32, rate: float = 0.01,
             seed: int = 11) -> float:
-        """Adam over batches of sequences of like length; returns the last epoch's mean loss."""
+        """Adam, its rate falling evenly, over batches of sequences of like length; returns the last epoch's mean loss."""
         rng = np.random.default_rng(seed)
         m, v = [np.zeros_like(p) for p in self.p], [np.zeros_like(p) for p in self.p]
         order, t, mean = np.argsort([len(x) for x in xs], kind="stable"), 0, 0.0
         groups = [order[i:i + batch] for i in range(0, len(order), batch)]
-        for _ in range(epochs):
+        for epoch in range(epochs):
+            pace = rate * (1 - epoch / epochs)  # falls evenly
             losses = []
             for g in rng.permutation(len(groups)):
                 x, lens = padded([xs[i] for i in groups[g]])
@@ -111,7 +112,7 @@ class Labeller:
                     q = q / norm
                     m[k] = 0.9 * m[k] + 0.1 * q
                     v[k] = 0.99 * v[k] + 0.01 * q * q
-                    self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.99 ** t)) + 1e-8)
+                    self.p[k] = (self.p[k] - pace * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.99 ** t)) + 1e-8)
                                  ).astype(np.float32)
             mean = float(np.mean(losses))
         return mean

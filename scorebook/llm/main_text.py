@@ -10,9 +10,13 @@ The labeller is trained on at most `sample_pages` pages of the table, which labe
 themselves: blocks inside an article or main element and outside menus, asides, notices
 and the like are main text. So that it does not lean on those elements alone, each page is
 also dealt into a few made-up layouts: its main and other texts under other tags and
-names, and with the usual furniture of pages (FURNITURE) around and within. A sample
-without such elements is labelled by length and links of the blocks. Everything but this
-sample is read whole, with no limit.
+names, main text as lists, code, tables and quotes too (SHAPES), and with the usual
+furniture of pages (FURNITURE) around and within. A sample without such elements is
+labelled by length and links of the blocks. Pages of any size are sampled; of one of more
+than STRETCHES times LONGEST blocks the sample holds stretches of LONGEST blocks from its
+start to its end, and of a block the first SAMPLE_CHARS characters, so that the sample is
+bounded. Everything but this sample is read whole, with no limit. A table whose pages have
+no block at all needs no labeller.
 
 Null and empty pages have an empty text. Broken markup (open quotes, missing end tags, a
 page that stops in a tag) is read as browsers do. Rows are handled one by one.
@@ -20,6 +24,7 @@ page that stops in a tag) is read as browsers do. Rows are handled one by one.
 
 from __future__ import annotations
 
+import json
 import zlib
 from functools import lru_cache
 
@@ -33,8 +38,9 @@ from scorebook.llm.html_blocks import Block, blocks
 from scorebook.llm.labeller import Labeller
 from scorebook.llm.words import Texts, doc_of
 
-PATH_SIZE, WORD_SIZE, MEASURES = 64, 32, 8
-SAMPLE_PAGES, LAYOUTS, LONGEST = 150, 4, 120
+PATH_SIZE, WORD_SIZE, MEASURES = 128, 32, 8
+SAMPLE_PAGES, LAYOUTS, LONGEST = 150, 8, 120
+STRETCHES, SAMPLE_CHARS = 3, 2000
 PAGES_AT_ONCE = 256
 
 #: Elements and names that hold the main text, and those that don't.
@@ -61,6 +67,12 @@ FURNITURE = {
 ASIDE_TAGS = {".menu": ["nav", "ul", "div"], ".footer": ["footer", "div"], ".form": ["form"], ".sidebar": ["aside", "div"]}
 MAIN_PATHS = [("article",), ("main",), ("main", "article"), ("div", ".content"), ("div", ".post"), ("div", ".entry"),
               ("section", ".story"), ("div", ".article", ".body"), ("div",), ("div", "div"), ("section",), ("td",)]
+#: Tags of main text beside long paragraphs, and names of reader comments.
+SHAPES = [("p",), ("p",), ("ul", "li"), ("ol", "li"), ("pre",), ("table", "tr", "td"), ("table", "tbody", "tr", "td"),
+          ("table", "tr", "th"), ("blockquote", "p"), ("blockquote",), ("dl", "dt"), ("dl", "dd"),
+          ("figure", "figcaption"), ("h2",), ("h3",), ("div",)]
+COMMENT_NAMES = [(".comments",), (".comment",), (".comments", "ol", "li", ".comment"), (".replies",), (".comment", ".list")]
+CODE = ["=", "()", "{", "}", ";", "return", "def", "for", "if", "import", "0", "1", "x", "[i]", "//", "->", "print"]
 
 
 @lru_cache(maxsize=1 << 14)
@@ -120,19 +132,31 @@ def made_up(page: list[Block], labels: np.ndarray, rng) -> tuple[list[Block], np
     out: list[tuple[Block, int]] = []
 
     def furniture(kind, inside=()):
-        path = outer + inside + (pick(ASIDE_TAGS.get(kind, ["div", "section"])),) + ((kind,) if named else ())
+        names, tag = pick(COMMENT_NAMES) if kind == ".comments" else (kind,), pick(ASIDE_TAGS.get(kind, ["div", "section"]))
+        plain = not named or tag in ("nav", "footer", "form", "aside") and rng.random() < 0.5  # the element tells
+        path = outer + inside + (tag,) + (() if plain else names)
         linked = kind in (".menu", ".share", ".sidebar", ".footer") and rng.random() < 0.8
         for _ in range(rng.integers(1, 7)):
             text = pick(FURNITURE[kind])
             if kind == ".comments" and rng.random() < 0.5 and len(page):
                 text = pick(page).text
-            out.append((Block(text, path + pick([(), ("p",), ("li",)]), len(text) if linked else 0), 0))
+            out.append((Block(text, path + pick([(), ("p",), ("p",), ("li",), ("h3",)]), len(text) if linked else 0), 0))
 
     for kind in rng.permutation([".menu", ".cookie", ".ad", ".notice", ".share", ".form"])[:rng.integers(0, 4)]:
         furniture(str(kind))
     body = [b for b, y in zip(page, labels) if y]
-    for i, b in enumerate(body):
-        out.append((Block(b.text, main + (b.path[-1] if b.path and not b.path[-1].startswith(".") else "p",), b.linked), 1))
+    shaped = rng.random() < 0.8
+    for b in body:
+        last = b.path[-1] if b.path and not b.path[-1].startswith(".") else "p"
+        out.append((Block(b.text, main + (last,), b.linked), 1))
+        if shaped and rng.random() < 0.3:  # a list, a table, code and the like after it, of this page's words
+            shape, words = pick(SHAPES), pick(body).text.split()
+            for _ in range(rng.integers(1, 8)):
+                n, at = int(rng.integers(1, pick([3, 12]))), int(rng.integers(0, len(words)))
+                some = words[at:at + n] if shape != ("pre",) else [w for x in words[at:at + 3 * n] for w in (x, pick(CODE))]
+                out.append((Block(" ".join(some), main + shape, 0), 1))
+                if shape in (("pre",), ("h2",), ("h3",), ("blockquote",), ("div",)):
+                    break
         if rng.random() < 0.04:
             furniture(pick([".ad", ".share", ".newsletter"]), main[len(outer):])
     others = [b for b, y in zip(page, labels) if not y]
@@ -140,41 +164,83 @@ def made_up(page: list[Block], labels: np.ndarray, rng) -> tuple[list[Block], np
         kind = pick([".ad", ".footer", ".sidebar", ".comments"])
         out.append((Block(b.text, outer + (pick(ASIDE_TAGS.get(kind, ["div"])), kind), b.linked), 0))
     for kind in rng.permutation([".comments", ".sidebar", ".newsletter", ".footer", ".share"])[:rng.integers(1, 5)]:
-        furniture(str(kind), main[len(outer):] if kind == ".comments" and rng.random() < 0.3 else ())
+        furniture(str(kind), main[len(outer):] if kind == ".comments" and rng.random() < 0.7 else ())
     return [b for b, _ in out], np.array([y for _, y in out], np.float32)
 
 
+def shortened(page: list[Block], rng) -> list[Block]:
+    """The page with a fifth of its blocks cut to some words: a label must not hang on a block's length."""
+    out = []
+    for b in page:
+        if rng.random() < 0.2:
+            words = b.text.split()
+            at = int(rng.integers(0, len(words)))
+            text = " ".join(words[at:at + int(rng.integers(1, 6))])
+            b = Block(text, b.path, min(b.linked, len(text)))
+        out.append(b)
+    return out
+
+
+def labelled(page: str | None) -> list[list[tuple[Block, float]]]:
+    """The page's blocks with their own labels, at once or, of a long page, in stretches from its start to its end."""
+    have = blocks(page)
+    if not have:
+        return []
+    y = own_labels(have)
+    cut = [(Block(b.text[:SAMPLE_CHARS], b.path, min(b.linked, SAMPLE_CHARS)), float(v)) for b, v in zip(have, y)]
+    if len(cut) <= STRETCHES * LONGEST:
+        return [cut]
+    starts = np.linspace(0, len(cut) - LONGEST, STRETCHES).astype(int)
+    return [cut[a:a + LONGEST] for a in starts]
+
+
 def train(pages: list[str | None], layouts: int = LAYOUTS, seed: int = 5) -> Labeller:
     """A labeller from a bounded sample of pages."""
+    return train_on([s for page in pages for s in labelled(page)], layouts, seed)
+
+
+def train_on(sample: list[list[tuple[Block, float]]], layouts: int = LAYOUTS, seed: int = 5) -> Labeller:
+    """A labeller from a bounded sample of labelled stretches of pages."""
     rng = np.random.default_rng(seed)
     xs, ys = [], []
-    for page in pages:
-        have = blocks(page)
-        if not have:
-            continue
-        y = own_labels(have)
-        for seq, lab in [(have, y)] * 2 + [made_up(have, y, rng) for _ in range(layouts)]:
+    for stretch in sample:
+        have, y = [b for b, _ in stretch], np.array([v for _, v in stretch], np.float32)
+        for seq, lab in [(have, y)] * 2 + [(shortened(have, rng), y) for _ in range(2)] + [made_up(have, y, rng) for _ in range(layouts)]:
             a = rng.integers(0, max(1, len(seq) - LONGEST + 1))  # long samples give a stretch each time
             xs.append(seq[a:a + LONGEST])
             ys.append(lab[a:a + LONGEST])
     model = Labeller(PATH_SIZE + WORD_SIZE + MEASURES)
     if xs:
-        model.fit(vectors(xs), ys)
+        model.fit(vectors(xs), ys, epochs=10)
     return model
 
 
+def sample_of(pages: DataFrame, sample_pages: int) -> list[list[tuple[Block, float]]]:
+    """Labelled stretches of at most `sample_pages` pages, cut where the pages are read."""
+
+    def cut(batches):
+        for b in batches:
+            for page in b.column(0):
+                if got := labelled(page.as_py()):
+                    text = json.dumps([[(x.text, x.path, x.linked, y) for x, y in s] for s in got])
+                    yield pa.RecordBatch.from_arrays([pa.array([text])], names=["page"])
+
+    rows = pages.select("html").mapInArrow(cut, "page string").limit(sample_pages).collect()
+    return [[(Block(t, tuple(path), n), y) for t, path, n, y in s] for r in rows for s in json.loads(r[0])]
+
+
 def extract(model: Labeller, pages: list[str | None]) -> list[str]:
     cut = [blocks(p) for p in pages]
     return ["\n".join(b.text for b, p in zip(page, probs) if p > 0.5)
             for page, probs in zip(cut, model.predict(vectors(cut)))]
 
 
-def main_text(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, max_sample_bytes: int = 1 << 16) -> DataFrame:
+def main_text(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row of `pages` (page_id, url, html)."""
     pages = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
-    sample = pages.where(F.octet_length("html") <= max_sample_bytes).select("html").limit(sample_pages).collect()
-    shared = pages.sparkSession.sparkContext.broadcast(train([r[0] for r in sample]).p)  # a few thousand numbers
+    model = train_on(sample_of(pages, sample_pages))
+    shared = pages.sparkSession.sparkContext.broadcast(model.p)  # a few thousand numbers
 
     def run(batch):
         model = Labeller(PATH_SIZE + WORD_SIZE + MEASURES)
