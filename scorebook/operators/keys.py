@@ -47,3 +47,20 @@ def key_setops(landed: DataFrame, processed: DataFrame, key: str = "match_id") -
     a, b = landed.select(key), processed.select(key)
     return (a.subtract(b).withColumn("side", F.lit("only_landed"))
             .unionByName(a.intersect(b).withColumn("side", F.lit("both"))))
+
+
+def version_decisions(held: DataFrame, batch: DataFrame, key: str = "match_id", version: str = "drop",
+                      digest: str = "digest") -> DataFrame:
+    """I1/I2 for documents that come again: `batch` (one row per key) with `decision`.
+
+    new: the key is not held; same: its content is (equal digests, whatever the versions; two nulls are equal); replace: other
+    content of a greater version; late: other content of the held or a smaller version, or of a null one. `held` has one row
+    per key; null keys match nothing. A null held version is replaced by any other.
+    """
+    old = held.select(F.col(key), F.col(version).alias("__sb_version"), F.col(digest).alias("__sb_digest"),
+                      F.lit(True).alias("__sb_held"))
+    newer = F.col(version).isNotNull() & (F.col("__sb_version").isNull() | (F.col(version) > F.col("__sb_version")))
+    decision = (F.when(F.col("__sb_held").isNull(), "new")
+                .when(F.col(digest).eqNullSafe(F.col("__sb_digest")), "same")
+                .when(newer, "replace").otherwise("late"))
+    return batch.join(old, key, "left").select(*[batch[c] for c in batch.columns], decision.alias("decision"))

@@ -464,6 +464,31 @@ ORACLE["new_keys"] = f"""WITH {SQL_SPLIT}
 SELECT l.match_id FROM landed l WHERE NOT EXISTS (SELECT 1 FROM processed p WHERE p.match_id = l.match_id)"""
 
 
+# I1, I2 for documents that come again: version = a date, digest = a status; every third customer's orders are corrected
+def q_version_decisions(spark, d):
+    day = lambda shift: F.date_add(F.col("o_orderdate").cast("date"), shift).cast("string")
+    held = _processed(spark, d).select("match_id", F.when(F.col("o_orderstatus") != "P", day(0)).alias("drop"),
+                                       F.col("o_orderstatus").alias("digest"))
+    status = F.when(F.col("o_custkey") % 3 == 0, F.concat("o_orderstatus", F.lit("x"))).otherwise(F.col("o_orderstatus"))
+    shift = F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(-1)
+    batch = _landed(spark, d).select("match_id", F.when(F.col("o_custkey") % 7 != 0, day(shift)).alias("drop"), status.alias("digest"))
+    return K.version_decisions(held, batch)
+
+
+ORACLE["version_decisions"] = """
+WITH held AS (SELECT o_orderkey AS match_id, o_orderstatus AS digest,
+                     CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS v
+              FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+batch AS (SELECT o_orderkey AS match_id, o_orderstatus || CASE WHEN o_custkey % 3 = 0 THEN 'x' ELSE '' END AS digest,
+                 CASE WHEN o_custkey % 7 <> 0 THEN CAST(CAST(o_orderdate AS DATE)
+                      + CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE -1 END AS VARCHAR) END AS v
+          FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01')
+SELECT b.match_id, b.v AS "drop", b.digest,
+       CASE WHEN h.match_id IS NULL THEN 'new' WHEN b.digest IS NOT DISTINCT FROM h.digest THEN 'same'
+            WHEN b.v IS NOT NULL AND (h.v IS NULL OR b.v > h.v) THEN 'replace' ELSE 'late' END AS decision
+FROM batch b LEFT JOIN held h USING (match_id)"""
+
+
 def q_seen_keys(spark, d):
     return K.seen_keys(_landed(spark, d), _processed(spark, d))
 
@@ -936,6 +961,7 @@ QUERIES = {
     "innings_key": q_innings_key,
     "new_keys": q_new_keys,
     "seen_keys": q_seen_keys,
+    "version_decisions": q_version_decisions,
     "key_setops": q_key_setops,
     "duplicate_guard": q_duplicate_guard,
     "delta_count": q_delta_count,
