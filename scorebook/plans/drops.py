@@ -116,12 +116,33 @@ def _listed(spark: SparkSession, root: str, drops: list[str], suffix: str) -> Da
     return stage(found.withColumn("drop", F.substring_index(F.substr("path", F.lit(len(root) + 2)), "/", 1)), "listing")
 
 
+def tally(decided: DataFrame) -> dict[str, int]:
+    """Documents by decision."""
+    return dict.fromkeys(DECISIONS, 0) | {r["decision"]: r["count"] for r in decided.groupBy("decision").count().collect()}
+
+
+def _write(layout: Layout, df: DataFrame, name: str, run: str) -> None:
+    """A table's rows of a run; what an attempt that died left of the run is replaced."""
+    cast_to_schema(df, RUN_SCHEMAS[name]).write.mode("overwrite").parquet(f"{_path(layout, name)}/run={run}")
+
+
+def write_documents(layout: Layout, docs: DataFrame, decided: DataFrame, held: DataFrame, run: str) -> None:
+    """The tables' rows of a run: `docs` are the parsed documents of the decisions new, replace and unreadable, `held` has the
+    run of each match that a document may replace."""
+    take = decided.where(F.col("decision").isin("new", "replace"))
+    _write(layout, quarantine_reasons(docs), "quarantine", run)
+    if not decided.where("decision = 'unreadable'").isEmpty():
+        docs = docs.join(take.select("match_id"), "match_id", "left_semi")
+    for name, extract in EXTRACTORS.items():
+        _write(layout, extract(docs), name, run)
+    _write(layout, take.select("match_id", "drop", "digest"), "loaded", run)
+    old = held.select("match_id", F.col("run").alias("old_run"))
+    _write(layout, take.where("decision = 'replace'").join(old, "match_id"), "replaced", run)
+
+
 def write_run(spark: SparkSession, layout: Layout, log: CommitLog, upto: int, root: str, drops: list[str], run: str) -> dict:
     """Writes the rows that `drops` add to the commits up to `upto` under `run`; counts of documents by decision."""
 
-    def write(df, name):
-        cast_to_schema(df, RUN_SCHEMAS[name]).write.parquet(f"{_path(layout, name)}/run={run}")
-
     listing = _listed(spark, root, drops, layout.suffix)
     keys = listing.select("match_id").distinct()
     docs = stage(scan_documents(spark, root, layout.suffix, keys=keys, listing=listing.select("path", "match_id"))
@@ -134,24 +155,14 @@ def write_run(spark: SparkSession, layout: Layout, log: CommitLog, upto: int, ro
     decided = version_decisions(held, docs.select("match_id", "drop", "digest"))
     unreadable = (F.col("decision") == "late") & F.col("drop").isNull()
     decided = stage(decided.withColumn("decision", F.when(unreadable, "unreadable").otherwise(F.col("decision"))), "decided")
-    counts = dict.fromkeys(DECISIONS, 0)
-    counts |= {r["decision"]: r["count"] for r in decided.groupBy("decision").count().collect()}
-    take = decided.where(F.col("decision").isin("new", "replace"))
+    counts = tally(decided)
     if counts["same"] + counts["late"]:  # else the documents stay where they were parsed
         docs = docs.join(decided.where(F.col("decision").isin("same", "late")).select("match_id"), "match_id", "left_anti")
-    write(quarantine_reasons(docs), "quarantine")
-    if counts["unreadable"]:
-        docs = docs.join(take.select("match_id"), "match_id", "left_semi")
-    for name, extract in EXTRACTORS.items():
-        write(extract(docs), name)
-    write(take.select("match_id", "drop", "digest"), "loaded")
-    write(take.where(F.col("decision") == "replace").join(held.select("match_id", F.col("run").alias("old_run")), "match_id"),
-          "replaced")
-
+    write_documents(layout, docs, decided, held, run)
     files = _listed(spark, root, drops, "json")
     newest = files.groupBy("match_id").agg(F.max_by("drop", "path").alias("drop"))
     events = scan_events(spark, root, only=newest, keep_invalid=True, listing=files.select("path", "match_id"))
-    write(events.join(newest, "match_id"), "events")
+    _write(layout, events.join(newest, "match_id"), "events", run)
     return counts
 
 
