@@ -78,8 +78,11 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
 def filled(regs: np.ndarray) -> np.ndarray:
     """Registers with each empty one taken from the first filled one of its own probing order."""
     out, rng = regs.copy(), np.random.default_rng(BUCKETS)
-    while (out == 0).any() and (regs > 0).any(1).all():
-        out = np.where(out == 0, regs[:, rng.integers(0, BUCKETS, BUCKETS)], out)
+    row, col = np.nonzero((out == 0) & (regs > 0).any(1).all())
+    while len(row):  # only those that are still empty are looked at again
+        taken = regs[row, rng.integers(0, BUCKETS, BUCKETS)[col]]
+        out[row, col] = taken
+        row, col = row[taken == 0], col[taken == 0]
     return out
 
 

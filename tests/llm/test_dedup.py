@@ -251,3 +251,27 @@ def test_keep_one_of_each_with_shared_and_null_ids(spark):
         [rows[i] for i in (0, 2, 3, 11, 12)], key=lambda r: (r[0], r[2]))
     assert sorted(r.row_number for r in out.collect() if r.doc_id is None) == [6, 8, 9]
     assert near_duplicates.keep_one_of_each(frame(spark, [], df.schema)).count() == 0
+
+
+def test_filled_reads_only_what_is_still_empty():
+    """One set with a single filled register among full ones takes many rounds; the others aren't read again in them."""
+    class Counted(np.ndarray):
+        read = 0
+
+        def __getitem__(self, at):
+            out = super().__getitem__(at)
+            Counted.read += np.size(out)
+            return out
+
+    nd, rng = near_duplicates, np.random.default_rng(1)
+    regs = rng.integers(1, 1 << 16, (400, nd.BUCKETS)).astype(np.uint16)
+    regs[7], regs[9, ::2] = 0, 0
+    regs[7, 3] = 5
+    want, order = regs.copy(), np.random.default_rng(nd.BUCKETS)
+    while (want == 0).any():
+        want = np.where(want == 0, regs[:, order.integers(0, nd.BUCKETS, nd.BUCKETS)], want)
+    got = nd.filled(regs.view(Counted))
+    assert (np.asarray(got) == want).all() and (want[7] == 5).all()
+    assert Counted.read < 2 * regs.size
+    regs[0] = 0  # an empty set among them: nothing is filled
+    assert (nd.filled(regs) == regs).all()
