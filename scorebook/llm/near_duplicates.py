@@ -32,9 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm.frames import free_name, keyed_texts, partitions, per_batch, stage, table
+from scorebook.llm.frames import free_name, keyed_texts, packed_texts, partitions, per_batch, stage, table, without_numbers
 from scorebook.llm.graph import components
-from scorebook.llm.words import LOWER, Texts, chunks, windows
+from scorebook.llm.words import LOWER, Texts, chunks, packed_chunks, windows
 
 SHINGLE, PERCENT = 5, 75
 BUCKET_BITS, MANTISSA, ROWS = 7, 10, 3
@@ -249,11 +249,14 @@ def links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int
     groups = stage(bands.join(lone, "band", "left_semi"), "bands")
 
     def full(batch):
-        for a, b, t in chunks(batch):
+        for a, b, t in packed_chunks(batch.column(1)):
             yield {"node": batch.column(0).slice(a, b - a), "shingles": [u.tobytes() for u in shingle_sets(t, size)]}
 
     mine = groups.select(F.col("node").alias("doc_id")).distinct()
-    sets = stage(per_batch(keyed_texts(docs).join(mine, "doc_id", "left_semi"), full, "node bigint, shingles binary"), "sets")
+    held = packed_texts(keyed_texts(docs)).join(mine, "doc_id", "left_semi")
+    sets = stage(per_batch(held, full, "node bigint, shingles binary"), "sets")
+    # from here on only the classes of the groups are joined
+    classes = stage(classes.join(mine.withColumnRenamed("doc_id", "node"), "node", "left_semi"), "met")
     roots = spark.createDataFrame([], "node bigint, root bigint")
     found = spark.createDataFrame([], "a bigint, b bigint")
     tested = spark.createDataFrame([], "a bigint, b bigint")
@@ -321,8 +324,8 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCEN
     found = stage(found.select(F.col("doc_id").alias("n"), "component_id").join(ids, "n"), "judged")
     least = found.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull().alias("none"), "own", "n")).alias("kept"),
                                               F.count(F.lit(1)).alias("k")).where("k > 1")
-    gone = found.join(least, "component_id").where(F.col("n") != F.col("kept.n")).select(F.col("n").alias(row))
-    return rows.join(gone, row, "left_anti").select(docs.columns)
+    gone = found.join(least, "component_id").where(F.col("n") != F.col("kept.n")).select("n")
+    return without_numbers(rows, row, gone).select(docs.columns)
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -275,3 +275,21 @@ def test_filled_reads_only_what_is_still_empty():
     assert Counted.read < 2 * regs.size
     regs[0] = 0  # an empty set among them: nothing is filled
     assert (nd.filled(regs) == regs).all()
+
+
+def test_keep_one_of_each_shuffles_no_rows(spark, monkeypatch):
+    """Without broadcasts the texts go into no shuffle of the last step, and packed into that of the sets."""
+    monkeypatch.setattr(near_duplicates, "packed_texts", lambda df, f=near_duplicates.packed_texts: packed.append(df) or f(df))
+    packed = []
+    text = lambda tag: " ".join(f"{tag}{i}" for i in range(60))
+    rows = [(i, text(f"t{i % 30}x") + (" end" if i % 2 else ""), i, None) for i in range(90)] + [(500, None, 1, "a"), (501, "", 2, "b")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = near_duplicates.keep_one_of_each(frame(spark, rows, "doc_id bigint, text string, n_chars int, lang string"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+        assert len(packed) == 1
+        assert sorted(tuple(r) for r in out.collect()) == sorted(rows[:30] + rows[-2:])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
