@@ -255,10 +255,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int
     mine = groups.select(F.col("node").alias("doc_id")).distinct()
     held = packed_texts(keyed_texts(docs)).join(mine, "doc_id", "left_semi")
     sets = stage(per_batch(held, full, "node bigint, shingles binary"), "sets")
-    # from here on only the classes of the groups are joined
-    classes = stage(classes.join(mine.withColumnRenamed("doc_id", "node"), "node", "left_semi"), "met")
     roots = spark.createDataFrame([], "node bigint, root bigint")
-    found = spark.createDataFrame([], "a bigint, b bigint")
     tested = spark.createDataFrame([], "a bigint, b bigint")
     for turn in range(PIVOT_ROUNDS + 2):
         label = F.coalesce("root", "node").alias("label")
@@ -290,20 +287,30 @@ def links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int
         tested = tested.union(pairs) if turn else pairs
         new = stage(_confirmed(_estimated(pairs, classes, percent), sets, percent), "links")
         if not new.isEmpty():
-            found = found.union(new)
-            roots = components(found)
+            roots = _joined(roots, new) if turn else components(new)
     return roots
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """`roots` (node, root) of the components that the new links (a, b) join; the components before count as nodes."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    ends = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    over = components(ends).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    new = over.select(F.col("root").alias("node"), F.col("top").alias("root")).join(roots, "node", "left_anti")
+    return roots.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(new)
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of `docs` (doc_id, text)."""
     docs = keyed_texts(docs)
     rows = stage(sketches(docs, size), "sketches")
     full = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     least = full.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    mine = full.select("doc_id", "digest", F.col("n_shingles").alias("n"), "registers")
-    classes = stage(mine.join(least, (mine["digest"] == least["digest"]) & (mine["doc_id"] == least["node"]), "left_semi")
-                    .select(F.col("doc_id").alias("node"), "n", "registers").distinct(), "classes")
+    # size and registers follow from the set
+    classes = stage(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
+                                               F.first("registers").alias("registers"))
+                    .select("node", "n", "registers").distinct(), "classes")
     roots = links(docs, classes, size, percent)
     roots = roots.groupBy("node").agg(F.min("root").alias("root"))
     known = least.join(roots, "node", "left").select(F.col("digest").alias("d"), F.coalesce("root", "node").alias("c"))
