@@ -136,6 +136,22 @@ def test_suffixes_null_ids_and_long_segments(spark, monkeypatch):
     assert suffixes.suffix_report(frame(spark, [])).count() == 0
 
 
+def test_suffixes_at_the_full_length(spark):
+    """57 shared words of 399 bytes stay; 400 bytes go from every copy, the first one and those within a document too."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    own = lambda: " ".join(word() for _ in range(100))
+    short, long, twice = (" ".join(word() for _ in range(57)) + end for end in (".", "..", ".."))
+    assert [len(x) for x in (short, long, twice)] == [399, 400, 400]
+    rows = [(d, f"{own()}{d}{x}{d}{own()}") for d, x in ((1, short), (2, short), (3, long), (4, long), (5, own()))]
+    rows.append((6, f"{own()}6{twice}7{twice}8{own()}"))
+    out = suffixes.suffix_report(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_removed, r.n_spans) for r in out} == {
+        1: (0, 0), 2: (0, 0), 3: (400, 1), 4: (400, 1), 5: (0, 0), 6: (800, 2)}
+    want = sorted((d, n, k, s, hashlib.sha256(x).hexdigest()) for (d, _), (n, k, s, x) in zip(rows, brute.repeats(rows, 400)))
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out) == want
+
+
 def test_suffixes_of_many_equal_rows(spark):
     """The spans of a row do not grow with the number of rows like it, so the work grows with that number only."""
     rng = random.Random(4)
